@@ -71,8 +71,8 @@ _SIMS = """sims AS (
   WHERE p.product1 <> p.product2)"""
 _TOP10 = """top AS (
   SELECT product1 AS productId, product2 AS simProductId, sim,
-         row_number() OVER (PARTITION BY product1
-                            ORDER BY round(sim, 9) DESC, product2 ASC) AS rank
+         CAST(row_number() OVER (PARTITION BY product1
+                                 ORDER BY round(sim, 9) DESC, product2 ASC) AS INTEGER) AS rank
   FROM sims
   QUALIFY rank <= 10)"""
 
