@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from rateflow.functions.exprs import (CANDIDATES, LIKE_ABOVE, MIN_SCORING_SIM, RECENT_RATINGS,
                                       rank_key, recommendation_level)
-from rateflow.operators.topk import empty_recs, nest, top_k_per_group
+from rateflow.operators.topk import empty_recs, nest, rank_within, top_k_per_group
 
 # Largest similarity table that is shipped whole to every executor.
 BROADCAST_MAX_ROWS = 5_000_000
@@ -87,9 +87,7 @@ def scores(cands: DataFrame, recents: DataFrame, sims: DataFrame,
 
 def ranked_scores(sc: DataFrame) -> DataFrame:
     """Adds ``rank`` per message: score desc, then product id."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("event_id").orderBy(rank_key("score").desc(), F.col("productId"))
-    return sc.withColumn("rank", F.row_number().over(w))
+    return rank_within(sc, ["event_id"], [rank_key("score").desc(), F.col("productId")])
 
 
 def message_recs(messages: DataFrame, sims: DataFrame, rated: DataFrame,

@@ -18,6 +18,12 @@ def top_k_per_group(df: DataFrame, group_cols, order_cols, k: int,
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 
 
+def rank_within(df: DataFrame, group_cols, order_cols, rank_col: str = "rank") -> DataFrame:
+    """``row_number()`` per group without a cap (whole ranked list)."""
+    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    return df.withColumn(rank_col, F.row_number().over(w))
+
+
 def nest(df: DataFrame, key: str, rank_col: str = "rank",
          items=(("simProductId", "productId"), ("score", "score")),
          out_col: str = "recs") -> DataFrame:

@@ -1 +1,104 @@
-"""Queries (filled in below)."""
+"""Factor-model queries: split, RMSE, per-user top-k, ALS fits and the grid."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rateflow.functions.exprs import rank_key, round6
+from rateflow.operators import als
+from rateflow.operators.topk import top_k_per_group
+from rateflow.plans.registry import register
+from rateflow.sources import fixtures as fx
+
+SPLIT_SQL = """split AS (
+  SELECT userId, productId, score, "timestamp",
+         CASE WHEN (CAST(userId AS BIGINT) * 31 + CAST(productId AS BIGINT) * 17
+                    + "timestamp") % 10 < 8 THEN 'train' ELSE 'test' END AS split
+  FROM ratings_orders),
+means AS (SELECT productId, avg(score) AS pred FROM split WHERE split = 'train'
+          GROUP BY productId)"""
+
+
+def _split(spark, d):
+    return als.arithmetic_split(fx.ratings_orders(spark, d))
+
+
+def _train_means(s):
+    return (s.where(F.col("split") == "train").groupBy("productId")
+            .agg(F.avg("score").alias("prediction")))
+
+
+register("train_test_split", fx.with_views("ratings_orders", SPLIT_SQL) + """
+SELECT userId, productId, score, "timestamp", split FROM split
+""")(_split)
+
+
+def _mean_predictions(s):
+    """Held-out (user, product) pairs scored with the product's training mean;
+    products never seen in training fall out."""
+    pairs = s.where(F.col("split") == "test").select("userId", "productId").distinct()
+    return pairs.join(_train_means(s), "productId")
+
+
+@register("prediction_rmse", fx.with_views("ratings_orders", SPLIT_SQL) + """
+SELECT round(sqrt(avg((t.score - m.pred) * (t.score - m.pred))), 6) AS rmse, count(*) AS n
+FROM split t JOIN means m ON t.productId = m.productId
+WHERE t.split = 'test'
+""")
+def _prediction_rmse(spark, d):
+    s = _split(spark, d)
+    r = als.rmse(s.where(F.col("split") == "test"), _mean_predictions(s))
+    return r.select(round6("rmse").alias("rmse"), "n")
+
+
+@register("top_k_per_user", fx.with_views("ratings_orders", SPLIT_SQL) + """
+SELECT userId, rank, productId, round(score, 6) AS score FROM (
+  SELECT p.userId, p.productId, m.pred AS score,
+         CAST(row_number() OVER (PARTITION BY p.userId
+              ORDER BY round(m.pred, 9) DESC, p.productId) AS INTEGER) AS rank
+  FROM (SELECT DISTINCT userId, productId FROM split WHERE split = 'test') p
+  JOIN means m ON p.productId = m.productId
+  WHERE m.pred > 0)
+WHERE rank <= 20
+""")
+def _top_k_per_user(spark, d):
+    p = _mean_predictions(_split(spark, d)).where(F.col("prediction") > 0)
+    t = top_k_per_group(p, ["userId"], [rank_key("prediction").desc(), F.col("productId")], 20)
+    return t.select("userId", "rank", "productId", round6("prediction").alias("score"))
+
+
+def _model(spark, d):
+    return als.fit(fx.ratings_orders(spark, d))
+
+
+@register("als_factors")
+def _als_factors(spark, d):
+    return als.item_factors(_model(spark, d))
+
+
+@register("als_predict")
+def _als_predict(spark, d):
+    s = _split(spark, d)
+    model = als.fit(s.where(F.col("split") == "train"))
+    return als.predict(model, s.where(F.col("split") == "test")
+                       .select("userId", "productId", "score"))
+
+
+@register("als_user_recs")
+def _als_user_recs(spark, d):
+    return als.user_recs(_model(spark, d))
+
+
+@register("als_product_recs")
+def _als_product_recs(spark, d):
+    return als.product_recs(_model(spark, d))
+
+
+def _grid(spark, d):
+    s = _split(spark, d)
+    return als.grid(spark, s.where(F.col("split") == "train"),
+                    s.where(F.col("split") == "test"))
+
+
+register("als_grid")(_grid)
+register("als_best_params")(lambda spark, d: als.best_params(_grid(spark, d)))

@@ -26,4 +26,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from rateflow.plans import offline, content, online, factor, io_checks  # noqa: F401
+    from rateflow.plans import offline, content, online, factor, io_checks, streams  # noqa: F401
