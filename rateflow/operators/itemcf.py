@@ -12,12 +12,10 @@ Plan shape, chosen for very large inputs:
 * ratings are first collapsed to (user, product, m) -- a map-side combined
   aggregate -- so duplicates never multiply rows in the pair join;
 * only half of the pairs (p < q) are built and later mirrored;
-* the pair join is on (user, b1, b2) where b = hash(product) mod s(user).
-  s(user) grows with the user's number of products, so a user who rated a
-  large share of the catalogue is split into s*(s+1)/2 bounded join groups
-  instead of one task; ordinary users keep s = 1 and are not replicated;
-* the pair counts are summed with partial aggregation in the join stage, and
-  per-product counts are joined after aggregation (small side, AQE broadcast).
+* the pair join splits a user who rated a large share of the catalogue into
+  bounded sub-joins (``pairs.pair_sums``), and pair counts are summed with
+  partial aggregation in the join stage;
+* per-product counts are joined after aggregation (small side, AQE broadcast).
 """
 
 from __future__ import annotations
@@ -26,13 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateflow.functions.exprs import ITEM_NEIGHBOURS, cooccurrence_sim, rank_key
+from rateflow.operators.pairs import pair_sums
 from rateflow.operators.topk import empty_recs, nest, top_k_per_group
 
-# Products per user block of the pair join, and the largest split of one user.
-BLOCK_PRODUCTS = 1024
-MAX_USER_SPLIT = 64
-
-
 def rating_counts(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("productId").agg(F.count(F.lit(1)).alias("count"))
 
@@ -46,26 +40,10 @@ def user_product_multiplicity(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("userId", "productId").agg(F.count(F.lit(1)).alias("m"))
 
 
-def half_pairs(ratings: DataFrame, block_products: int = BLOCK_PRODUCTS,
-               max_split: int = MAX_USER_SPLIT) -> DataFrame:
-    """(product1 < product2, co) over all users."""
+def half_pairs(ratings: DataFrame) -> DataFrame:
+    """(product1 < product2, cocount) over all users."""
     m = user_product_multiplicity(ratings)
-    deg = m.groupBy("userId").agg(F.count(F.lit(1)).alias("deg"))
-    split = F.least(F.lit(max_split),
-                    F.greatest(F.lit(1), F.ceil(F.col("deg") / F.lit(block_products))))
-    ms = (m.join(deg.select("userId", split.cast("int").alias("s")), "userId")
-          .withColumn("blk", F.pmod(F.xxhash64("productId"), F.col("s")).cast("int")))
-    left = ms.select("userId", F.col("productId").alias("pa"), F.col("m").alias("ma"),
-                     F.col("blk").alias("b1"),
-                     F.explode(F.sequence(F.col("blk"), F.col("s") - 1)).alias("b2"))
-    right = ms.select("userId", F.col("productId").alias("pb"), F.col("m").alias("mb"),
-                      F.explode(F.sequence(F.lit(0), F.col("blk"))).alias("b1"),
-                      F.col("blk").alias("b2"))
-    j = (left.join(right, ["userId", "b1", "b2"])
-         .where((F.col("b1") < F.col("b2")) | (F.col("pa") < F.col("pb"))))
-    return (j.groupBy(F.least("pa", "pb").alias("product1"),
-                      F.greatest("pa", "pb").alias("product2"))
-            .agg(F.sum(F.col("ma") * F.col("mb")).alias("cocount")))
+    return pair_sums(m, "userId", "productId", "m", out=("product1", "product2", "cocount"))
 
 
 def _mirror(half: DataFrame, a: str, b: str, rest) -> DataFrame:
