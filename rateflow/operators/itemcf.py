@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rateflow.functions.exprs import ITEM_NEIGHBOURS, cooccurrence_sim, rank_key
-from rateflow.operators.pairs import pair_sums
+from rateflow.operators.pairs import mirror, pair_sums
 from rateflow.operators.topk import empty_recs, nest, top_k_per_group
 
 def rating_counts(ratings: DataFrame) -> DataFrame:
@@ -46,11 +46,6 @@ def half_pairs(ratings: DataFrame) -> DataFrame:
     return pair_sums(m, "userId", "productId", "m", out=("product1", "product2", "cocount"))
 
 
-def _mirror(half: DataFrame, a: str, b: str, rest) -> DataFrame:
-    other = half.select(F.col(b).alias(a), F.col(a).alias(b), *rest)
-    return half.select(a, b, *rest).unionByName(other)
-
-
 def cooccurrence(ratings: DataFrame, include_self: bool = True) -> DataFrame:
     """product1, product2, cocount, count1, count2 for every co-rated ordered pair.
 
@@ -59,7 +54,7 @@ def cooccurrence(ratings: DataFrame, include_self: bool = True) -> DataFrame:
     """
     half = half_pairs(ratings)
     n = rating_counts(ratings)
-    pairs = _mirror(half, "product1", "product2", ["cocount"])
+    pairs = mirror(half, "product1", "product2", ["cocount"])
     if include_self:
         m = user_product_multiplicity(ratings)
         diag = m.groupBy("productId").agg(F.sum(F.col("m") * F.col("m")).alias("cocount"))
@@ -81,7 +76,7 @@ def similarity(ratings: DataFrame) -> DataFrame:
     scored = (half.join(n1, "product1").join(n2, "product2")
               .select("product1", "product2",
                       cooccurrence_sim("cocount", "n1", "n2").alias("sim")))
-    return _mirror(scored, "product1", "product2", ["sim"])
+    return mirror(scored, "product1", "product2", ["sim"])
 
 
 def similarity_above(ratings: DataFrame, threshold: float) -> DataFrame:

@@ -45,3 +45,12 @@ def pair_sums(df: DataFrame, group: str, item: str, weight: str,
          .where((F.col("_b1") < F.col("_b2")) | (F.col("_ia") < F.col("_ib"))))
     return (j.groupBy(F.least("_ia", "_ib").alias(out[0]), F.greatest("_ia", "_ib").alias(out[1]))
             .agg(F.sum(F.col("_wa") * F.col("_wb")).alias(out[2])))
+
+
+def mirror(half: DataFrame, a: str, b: str, rest=()) -> DataFrame:
+    """(a, b, rest) -> both (a, b, rest) and (b, a, rest) in one pass over ``half``
+    (an explode, so the subtree that built ``half`` is not planned twice)."""
+    both = F.explode(F.array(F.struct(F.col(a).alias("_x"), F.col(b).alias("_y")),
+                             F.struct(F.col(b).alias("_x"), F.col(a).alias("_y"))))
+    return (half.select(both.alias("_p"), *rest)
+            .select(F.col("_p._x").alias(a), F.col("_p._y").alias(b), *rest))
