@@ -27,7 +27,11 @@ from rateflow.functions.exprs import ITEM_NEIGHBOURS, cooccurrence_sim, rank_key
 from rateflow.operators.pairs import mirror, pair_sums
 from rateflow.operators.topk import empty_recs, nest, top_k_per_group
 
-def rating_counts(ratings: DataFrame) -> DataFrame:
+def rating_counts(ratings: DataFrame, dedup: bool = False) -> DataFrame:
+    """Ratings per product (distinct raters with ``dedup``)."""
+    if dedup:
+        return user_product_multiplicity(ratings, True).groupBy("productId").agg(
+            F.count(F.lit(1)).alias("count"))
     return ratings.groupBy("productId").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -36,13 +40,15 @@ def rating_with_count(ratings: DataFrame) -> DataFrame:
     return r.join(rating_counts(ratings), "productId")
 
 
-def user_product_multiplicity(ratings: DataFrame) -> DataFrame:
-    return ratings.groupBy("userId", "productId").agg(F.count(F.lit(1)).alias("m"))
+def user_product_multiplicity(ratings: DataFrame, dedup: bool = False) -> DataFrame:
+    """(userId, productId, m); with ``dedup`` a repeated rating counts once."""
+    m = F.lit(1).cast("bigint") if dedup else F.count(F.lit(1))
+    return ratings.groupBy("userId", "productId").agg(m.alias("m"))
 
 
-def half_pairs(ratings: DataFrame) -> DataFrame:
+def half_pairs(ratings: DataFrame, dedup: bool = False) -> DataFrame:
     """(product1 < product2, cocount) over all users."""
-    m = user_product_multiplicity(ratings)
+    m = user_product_multiplicity(ratings, dedup)
     return pair_sums(m, "userId", "productId", "m", out=("product1", "product2", "cocount"))
 
 
@@ -67,10 +73,11 @@ def cooccurrence(ratings: DataFrame, include_self: bool = True) -> DataFrame:
         "product1", "product2", "cocount", "count1", "count2")
 
 
-def similarity(ratings: DataFrame) -> DataFrame:
-    """product1, product2, sim for every co-rated pair of distinct products."""
-    half = half_pairs(ratings)
-    n = rating_counts(ratings)
+def similarity(ratings: DataFrame, dedup: bool = False) -> DataFrame:
+    """product1, product2, sim for every co-rated pair of distinct products.
+    ``dedup`` counts each (user, product) once, which keeps sim <= 1."""
+    half = half_pairs(ratings, dedup)
+    n = rating_counts(ratings, dedup)
     n1 = n.select(F.col("productId").alias("product1"), F.col("count").alias("n1"))
     n2 = n.select(F.col("productId").alias("product2"), F.col("count").alias("n2"))
     scored = (half.join(n1, "product1").join(n2, "product2")
@@ -79,27 +86,28 @@ def similarity(ratings: DataFrame) -> DataFrame:
     return mirror(scored, "product1", "product2", ["sim"])
 
 
-def similarity_above(ratings: DataFrame, threshold: float) -> DataFrame:
+def similarity_above(ratings: DataFrame, threshold: float, dedup: bool = False) -> DataFrame:
     """(productId, simProductId, sim) with sim > threshold (9-place compare)."""
-    s = similarity(ratings).where(rank_key("sim") > threshold)
+    s = similarity(ratings, dedup).where(rank_key("sim") > threshold)
     return s.select(F.col("product1").alias("productId"),
                     F.col("product2").alias("simProductId"), "sim")
 
 
-def top_neighbours(ratings: DataFrame, k: int = ITEM_NEIGHBOURS) -> DataFrame:
+def top_neighbours(ratings: DataFrame, k: int = ITEM_NEIGHBOURS,
+                   dedup: bool = False) -> DataFrame:
     """(productId, rank, simProductId, score): k most similar per product,
     ties broken by neighbour id."""
-    s = similarity(ratings).select(F.col("product1").alias("productId"),
+    s = similarity(ratings, dedup).select(F.col("product1").alias("productId"),
                                    F.col("product2").alias("simProductId"),
                                    F.col("sim").alias("score"))
     return top_k_per_group(s, ["productId"],
                            [rank_key("score").desc(), F.col("simProductId").asc()], k)
 
 
-def product_recs(ratings: DataFrame, k: int = ITEM_NEIGHBOURS) -> DataFrame:
+def product_recs(ratings: DataFrame, k: int = ITEM_NEIGHBOURS, dedup: bool = False) -> DataFrame:
     """Nested (productId, recs): every rated product, with an empty list when
     no other product shares a user with it."""
-    nested = nest(top_neighbours(ratings, k), "productId")
+    nested = nest(top_neighbours(ratings, k, dedup), "productId")
     rated = rating_counts(ratings).select("productId")
     return (rated.join(nested, "productId", "left")
             .select("productId", F.coalesce("recs", empty_recs()).alias("recs")))

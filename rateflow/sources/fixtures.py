@@ -79,8 +79,11 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan that arrived in fewer partitions than there are cores
     (one-row-group files); a scan of many files passes through unchanged."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session)
+        return df
 
 
 def content_items(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,11 +47,20 @@ STREAM_RECS = T.StructType([
 ])
 
 
-def _source(spark: SparkSession, path: str, schema, max_files: int | None) -> DataFrame:
-    r = spark.readStream.schema(schema)
+def _source(spark: SparkSession, path: str, schema, max_files: int | None,
+            fmt: str = "parquet", options: dict | None = None) -> DataFrame:
+    """A file source by default.  With ``fmt='kafka'`` (package on the classpath)
+    ``options`` carry the servers and topic, ``path`` is ignored, and the record
+    value and offset become (event_id, value)."""
+    r = spark.readStream.format(fmt).options(**(options or {}))
+    if fmt == "kafka":
+        df = r.load()
+        return df.select(F.col("offset").alias("event_id"),
+                         F.col("value").cast("string").alias("value"))
+    r = r.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(path)
+    return r.load(path)
 
 
 def _trigger(w, trigger: dict | None):
@@ -59,8 +68,10 @@ def _trigger(w, trigger: dict | None):
 
 
 def start_log_filter(spark: SparkSession, source: str, sink: str, checkpoint: str,
-                     trigger: dict | None = None, max_files: int | None = None) -> StreamingQuery:
-    lines = _source(spark, source, LINE_SCHEMA, max_files)
+                     trigger: dict | None = None, max_files: int | None = None,
+                     source_format: str = "parquet",
+                     source_options: dict | None = None) -> StreamingQuery:
+    lines = _source(spark, source, LINE_SCHEMA, max_files, source_format, source_options)
     out = text.extract_rating_payloads(lines)
     w = out.writeStream.format("parquet").option("path", sink) \
         .option("checkpointLocation", checkpoint).outputMode("append")
@@ -95,7 +106,8 @@ def start_recent_ratings(spark: SparkSession, source: str, table_path: str, chec
 def start_stream_recs(spark: SparkSession, source: str, table_path: str, checkpoint: str,
                       sims_path: str, history_path: str, quarantine_path: str,
                       trigger: dict | None = None,
-                      max_files: int | None = None) -> StreamingQuery:
+                      max_files: int | None = None, source_format: str = "parquet",
+                      source_options: dict | None = None) -> StreamingQuery:
     """Message lines (event_id, value='u|p|score|ts') -> StreamRecs table.
 
     Static inputs are written tables: the similarity table (broadcast only if
@@ -124,7 +136,7 @@ def start_stream_recs(spark: SparkSession, source: str, table_path: str, checkpo
             latest = latest_recs(latest.unionByName(old))
         table.upsert(latest, batch_id)
 
-    src = _source(spark, source, LINE_SCHEMA, max_files)
+    src = _source(spark, source, LINE_SCHEMA, max_files, source_format, source_options)
     w = src.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 

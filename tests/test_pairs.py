@@ -59,3 +59,12 @@ def test_similarity_symmetric(spark):
                               "userId int, productId int")
     s = {(x.product1, x.product2): x.sim for x in itemcf.similarity(r).collect()}
     assert all(abs(s[(b, a)] - v) < 1e-12 for (a, b), v in s.items())
+
+
+def test_dedup_keeps_similarity_at_most_one(spark):
+    r = spark.createDataFrame([(1, 10), (1, 10), (1, 10), (1, 20), (2, 20)],
+                              "userId int, productId int")
+    raw = {(x.product1, x.product2): x.sim for x in itemcf.similarity(r).collect()}
+    ded = {(x.product1, x.product2): x.sim for x in itemcf.similarity(r, dedup=True).collect()}
+    assert raw[(10, 20)] > 1 - 1e-12 and raw[(10, 20)] == 3 / (3 * 2) ** 0.5
+    assert ded[(10, 20)] == 1 / 2 ** 0.5
