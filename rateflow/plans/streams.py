@@ -9,7 +9,7 @@ from rateflow.plans.online import (CAND_SQL, LATEST_SQL, ONLINE_VIEWS, RECENTS_S
 from rateflow.plans.registry import register
 from rateflow.session import scratch_path
 from rateflow.sources import fixtures as fx
-from rateflow.sources.tables import VersionedTable, as_ratings
+from rateflow.sources.tables import KeyedLog, as_ratings
 from rateflow.streaming import jobs
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -36,8 +36,7 @@ def _user_recent_ratings_streaming(spark, d):
     q = jobs.start_recent_ratings(spark, f"{base}/source", f"{base}/state", f"{base}/checkpoint",
                                   trigger=AVAILABLE_NOW, max_files=1)
     jobs.run_to_end(q)
-    state = VersionedTable(spark, f"{base}/state", "userId", jobs.RECENT_STATE).read()
-    return state.select("userId", "rank", "productId", "score")
+    return jobs.recent_from_log(KeyedLog(spark, f"{base}/state", jobs.RECENT_STATE).read())
 
 
 _GOOD_MESSAGES = f"""gm AS (
@@ -61,5 +60,5 @@ def _stream_recs_streaming(spark, d):
                                quarantine_path=f"{base}/quarantine",
                                trigger=AVAILABLE_NOW, max_files=1)
     jobs.run_to_end(q)
-    final = VersionedTable(spark, f"{base}/StreamRecs", "userId", jobs.STREAM_RECS).read()
-    return _flat_rounded(final, "userId")
+    log = KeyedLog(spark, f"{base}/StreamRecs", jobs.STREAM_RECS).read()
+    return _flat_rounded(jobs.recs_from_log(log), "userId")

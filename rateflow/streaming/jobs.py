@@ -6,13 +6,15 @@
 * ``start_stream_recs`` -- rating messages -> rescored similar products,
   last list per user kept.
 
-The two stateful jobs keep their state as a keyed table in the shared folder,
-merged per micro-batch in ``foreachBatch``: each batch reads the previous
-version, merges with set operations (joins, windows, aggregates -- so a very
-active user is handled by partial aggregation and a partial window limit, not
-by one task holding all of its rows) and writes version ``batch_id``.  A
-retried batch rewrites the same version, so results are exactly-once and
-survive lost executors and driver restarts from the checkpoint.
+The two stateful jobs keep their state as an append-only keyed log in the
+shared folder (``KeyedLog``).  In ``foreachBatch`` each micro-batch is first
+reduced with set operations -- newest 21 per user through a partial window
+limit, latest list per user through a map-side combined ``max(struct)`` -- so
+a very active user never lands whole in one task, and only the reduced rows
+are appended under ``batch_id``.  Writes cost O(batch); a retried batch
+replaces its own rows, so results are exactly-once and survive lost executors
+and driver restarts from the checkpoint.  Readers fold the log with the same
+reduction (``recent_from_log``, ``recs_from_log``).
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from rateflow.operators import scoring
 from rateflow.operators.topk import top_k_per_group
 from rateflow.schemas import RATING, RECOMMENDATION
 from rateflow.sources import text
-from rateflow.sources.tables import VersionedTable
+from rateflow.sources.tables import KeyedLog
 
 LINE_SCHEMA = "event_id bigint, value string"
 
@@ -78,31 +80,32 @@ def start_log_filter(spark: SparkSession, source: str, sink: str, checkpoint: st
     return _trigger(w, trigger).start()
 
 
+def _recent_order():
+    return [F.col("timestamp").desc(), F.col("productId").asc(), F.col("score").desc()]
+
+
 def start_recent_ratings(spark: SparkSession, source: str, table_path: str, checkpoint: str,
                          k: int = RECENT_RATINGS, trigger: dict | None = None,
                          max_files: int | None = None) -> StreamingQuery:
-    """Rating rows (userId, productId, score, timestamp) -> state table of the
-    newest k per user.  Any arrival order gives the batch result, except that a
-    rating older than k kept ones is dropped (it could never be in the top k)."""
-    table = VersionedTable(spark, table_path, "userId", RECENT_STATE)
-    order = [F.col("timestamp").desc(), F.col("productId").asc(), F.col("score").desc()]
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        new = batch.select(*RATING.fieldNames())
-        prev = table.latest_version(below=batch_id)
-        if prev is not None:
-            users = new.select("userId").distinct()
-            old = (table.read(prev).join(users, "userId", "left_semi")
-                   .select(*RATING.fieldNames()))
-            new = new.unionByName(old)
-        top = top_k_per_group(new, ["userId"], order, k)
-        table.upsert(top.select(*RECENT_STATE.fieldNames()), batch_id)
+    """Rating rows (userId, productId, score, timestamp) -> log of per-batch
+    newest-k rows per user; ``recent_from_log`` gives the newest k overall."""
+    log = KeyedLog(spark, table_path, RECENT_STATE)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        top = top_k_per_group(batch.select(*RATING.fieldNames()), ["userId"], _recent_order(), k)
+        log.append(top, batch_id)
 
     src = _source(spark, source, RATING, max_files)
-    w = src.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    w = src.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
 
+def recent_from_log(log: DataFrame, k: int = RECENT_RATINGS) -> DataFrame:
+    """(userId, rank, productId, score): newest k per user over the whole log."""
+    top = top_k_per_group(log.select(*RATING.fieldNames()), ["userId"], _recent_order(), k)
+    return top.select("userId", "rank", "productId", "score")
+
+
 def start_stream_recs(spark: SparkSession, source: str, table_path: str, checkpoint: str,
                       sims_path: str, history_path: str, quarantine_path: str,
                       trigger: dict | None = None,
@@ -119,7 +122,7 @@ def start_stream_recs(spark: SparkSession, source: str, table_path: str, checkpo
     history = spark.read.parquet(history_path)
     recents_path = table_path.rstrip("/") + "_recents"
     scoring.recent_ratings(history).write.mode("overwrite").parquet(recents_path)
-    table = VersionedTable(spark, table_path, "userId", STREAM_RECS)
+    log = KeyedLog(spark, table_path, STREAM_RECS)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         good, bad = text.split_good_bad(text.parse_rating_messages(batch),
@@ -129,18 +132,18 @@ def start_stream_recs(spark: SparkSession, source: str, table_path: str, checkpo
         s = F.broadcast(s) if small else s
         recents = spark.read.parquet(recents_path)
         recs = scoring.message_recs(good, s, history, recents)
-        latest = latest_recs(recs)
-        prev = table.latest_version(below=batch_id)
-        if prev is not None:
-            old = table.read(prev).join(latest.select("userId"), "userId", "left_semi")
-            latest = latest_recs(latest.unionByName(old))
-        table.upsert(latest, batch_id)
+        log.append(latest_recs(recs), batch_id)
 
     src = _source(spark, source, LINE_SCHEMA, max_files, source_format, source_options)
     w = src.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
 
+def recs_from_log(log: DataFrame) -> DataFrame:
+    """StreamRecs as a table: the latest list per user over the whole log."""
+    return latest_recs(log.select(*STREAM_RECS.fieldNames()))
+
+
 def latest_recs(recs: DataFrame) -> DataFrame:
     """Per user, the list of the message with the highest (timestamp, event_id)."""
     last = F.max(F.struct("timestamp", "event_id", "recs")).alias("_l")
