@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rateflow.functions.exprs import round6
+from rateflow.functions.sql import statistics_sql
 from rateflow.operators import itemcf, stats
 from rateflow.operators.topk import flatten
 from rateflow.plans.registry import register
@@ -16,12 +17,22 @@ register("rate_more_products", fx.with_views("ratings_orders") + """
 SELECT productId, count(productId) AS count FROM ratings_orders GROUP BY productId
 """)(lambda spark, d: stats.rate_more_products(fx.ratings_orders(spark, d)))
 
-register("rate_more_recently_products", fx.with_views("ratings_orders") + """
+_RECENTLY_SQL = fx.with_views("ratings_orders") + """
 SELECT productId, count(productId) AS count,
        CAST(year(make_timestamp(CAST("timestamp" AS BIGINT) * 1000000)) * 100
             + month(make_timestamp(CAST("timestamp" AS BIGINT) * 1000000)) AS INTEGER) AS yearmonth
 FROM ratings_orders GROUP BY yearmonth, productId
-""")(lambda spark, d: stats.rate_more_recently_products(fx.ratings_orders(spark, d)))
+"""
+
+register("rate_more_recently_products", _RECENTLY_SQL)(
+    lambda spark, d: stats.rate_more_recently_products(fx.ratings_orders(spark, d)))
+
+
+@register("rate_more_recently_products_sql", _RECENTLY_SQL)
+def _rate_more_recently_products_sql(spark, d):
+    """Same statistic through the SQL surface: temp views + changeDate SQL function."""
+    fx.register_views(spark, d)
+    return statistics_sql(spark, "rateflow_ratings_orders")["rate_more_recently_products"]
 
 
 @register("average_products", fx.with_views("ratings_orders") + """

@@ -153,6 +153,15 @@ def similarities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_above(history(spark, sf_dir), 0.6)
 
 
+def register_views(spark: SparkSession, sf_dir: str, prefix: str = "rateflow_") -> list[str]:
+    """Register the main views as temp views ``<prefix><name>`` for ad-hoc SQL."""
+    builders = {"ratings": ratings, "ratings_orders": ratings_orders, "history": history,
+                "messages": messages, "products": products, "content_items": content_items}
+    for name, build in builders.items():
+        build(spark, sf_dir).createOrReplaceTempView(prefix + name)
+    return [prefix + n for n in builders]
+
+
 # --------------------------------------------------------------------------
 # DuckDB text of the same views
 # --------------------------------------------------------------------------

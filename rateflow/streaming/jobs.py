@@ -72,11 +72,19 @@ def _trigger(w, trigger: dict | None):
 def start_log_filter(spark: SparkSession, source: str, sink: str, checkpoint: str,
                      trigger: dict | None = None, max_files: int | None = None,
                      source_format: str = "parquet",
-                     source_options: dict | None = None) -> StreamingQuery:
+                     source_options: dict | None = None, sink_format: str = "parquet",
+                     sink_options: dict | None = None) -> StreamingQuery:
+    """Log lines -> rating payloads.  With ``sink_format='kafka'`` records are
+    keyed by the user id (first payload field), so they spread over the topic's
+    partitions instead of all hashing to one."""
     lines = _source(spark, source, LINE_SCHEMA, max_files, source_format, source_options)
     out = text.extract_rating_payloads(lines)
-    w = out.writeStream.format("parquet").option("path", sink) \
-        .option("checkpointLocation", checkpoint).outputMode("append")
+    if sink_format == "kafka":
+        out = out.select(F.split("value", "\\|").getItem(0).alias("key"), "value")
+        w = out.writeStream.format("kafka").options(**(sink_options or {}))
+    else:
+        w = out.writeStream.format(sink_format).option("path", sink)
+    w = w.option("checkpointLocation", checkpoint).outputMode("append")
     return _trigger(w, trigger).start()
 
 

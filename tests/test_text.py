@@ -60,3 +60,17 @@ def test_tokenizer_rules(spark):
 def test_text_after_prefix_absent_is_null(spark):
     df = spark.createDataFrame([("no prefix here",)], "v string")
     assert df.select(text_after_prefix("v").alias("p")).first().p is None
+
+
+def test_sql_surface_equals_dataframe(spark):
+    from rateflow.functions.sql import statistics_sql
+    from rateflow.operators import stats
+    r = spark.createDataFrame([(1, 10, 4.0, 1259625600), (2, 10, 2.0, 1259625599), (1, 11, 5.0, 5)],
+                              "userId int, productId int, score double, timestamp int")
+    r.createOrReplaceTempView("t_ratings")
+    sq = statistics_sql(spark, "t_ratings")
+    df = {"rate_more_products": stats.rate_more_products(r),
+          "rate_more_recently_products": stats.rate_more_recently_products(r),
+          "average_products": stats.average_products(r)}
+    for k, v in df.items():
+        assert sorted(map(tuple, sq[k].collect())) == sorted(map(tuple, v.collect()))
