@@ -119,6 +119,7 @@ def _stream_recs_upsert(spark, d):
     turn into a versioned StreamRecs table; the last list per user wins."""
     msgs, hist, sims, recents = _inputs(spark, d)
     table = VersionedTable(spark, scratch_path(spark, "StreamRecs"), "userId", USER_RECS)
+    sims = sims.checkpoint()          # used by both batches, twice each
     for version, part in enumerate([msgs.where(F.col("timestamp") < SPLIT_EPOCH),
                                     msgs.where(F.col("timestamp") >= SPLIT_EPOCH)]):
         recs = scoring.message_recs(part, sims, hist, recents)
