@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rateflow.functions.exprs import MIN_STORED_SIM, USER_RECS, rank_key
 from rateflow.operators.similarity import dense_cosine_above, mirror_pairs
-from rateflow.operators.topk import rank_within
+from rateflow.operators.topk import rank_within, top_k_per_group
 from rateflow.session import shared_dir
 
 # Fixed values of the original job.
@@ -55,13 +55,17 @@ def user_recs(model: ALSModel, k: int = USER_RECS) -> DataFrame:
     return r.select("userId", recs.alias("recs")).where(F.size("recs") > 0)
 
 
-def product_recs(model: ALSModel, threshold: float = MIN_STORED_SIM) -> DataFrame:
+def product_recs(model: ALSModel, threshold: float = MIN_STORED_SIM,
+                 k: int | None = None) -> DataFrame:
     """(productId, rank, simProductId, score): item pairs with cosine of their
-    factors above the threshold, best first, uncapped."""
+    factors above the threshold, best first; uncapped unless ``k`` is given."""
     s = mirror_pairs(dense_cosine_above(item_factors(model), threshold))
     s = s.select(F.col("product1").alias("productId"), F.col("product2").alias("simProductId"),
                  F.col("sim").alias("score"))
-    return rank_within(s, ["productId"], [rank_key("score").desc(), F.col("simProductId")])
+    order = [rank_key("score").desc(), F.col("simProductId")]
+    if k is not None:
+        return top_k_per_group(s, ["productId"], order, k)
+    return rank_within(s, ["productId"], order)
 
 
 def random_split(ratings: DataFrame, seed: int = SEED):
