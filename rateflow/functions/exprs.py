@@ -25,6 +25,7 @@ _TRIM = "[\\x00-\\x20]"
 # Whitespace class of a JVM regex "\s" written out so that every engine
 # reads it the same way.
 WS = "[ \\t\\n\\x0B\\f\\r]"
+WS_CHARS = " \t\n\x0b\f\r"
 
 
 def _c(x) -> Column:
@@ -86,7 +87,7 @@ def tag_tokens(tags) -> Column:
     string gives one empty token and a blank-only string gives none.
     """
     s = F.lower(F.translate(_c(tags), "|", " "))
-    stripped = F.regexp_replace(s, f"{WS}+$", "")
+    stripped = F.rtrim(s, F.lit(WS_CHARS))
     return (F.when((stripped == "") & (s != ""), F.array().cast("array<string>"))
             .otherwise(F.split(stripped, WS)))
 
