@@ -103,21 +103,54 @@ class KeyedLog:
     replaces exactly its own rows).  A write costs O(batch), never O(table);
     readers fold the log with an aggregate that is combined map-side (latest
     per key, top-k per key), which gives the same answer as an in-place upsert.
+
+    ``compact(fold, upto)`` bounds read cost: it writes fold(log up to batch
+    ``upto``) as a snapshot under ``_snapshot/upto=<n>`` and then a marker
+    (``_marker``).  Readers take the marked snapshot plus the log batches after
+    it.  A crash before the marker is written leaves readers on the previous
+    marker (or the full log), so no row is ever read twice.  Folded batches stay
+    on storage for an outside retention job.  (Spark skips ``_`` folders when
+    listing the log.)
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
         self.spark = spark
         self.path = path
         self.schema = schema
+        self._full = T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])
 
     def append(self, df: DataFrame, batch_id: int) -> None:
         (df.select(*self.schema.fieldNames()).withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(self.path))
 
-    def read(self) -> DataFrame:
-        full = T.StructType(self.schema.fields + [T.StructField("batch_id", T.LongType())])
+    def _log(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(self._full).parquet(self.path)
+        except AnalysisException:
+            return self.spark.createDataFrame([], self._full)
+
+    def marker(self) -> int | None:
         try:
-            return self.spark.read.schema(full).parquet(self.path)
+            row = self.spark.read.parquet(f"{self.path}/_marker").first()
         except AnalysisException:
-            return self.spark.createDataFrame([], full)
+            return None
+        return None if row is None else int(row["upto"])
+
+    def read(self) -> DataFrame:
+        m = self.marker()
+        log = self._log()
+        if m is None:
+            return log
+        snap = (self.spark.read.schema(self.schema).parquet(f"{self.path}/_snapshot/upto={m}")
+                .withColumn("batch_id", F.lit(m).cast("long")))
+        return snap.unionByName(log.where(F.col("batch_id") > m))
+
+    def compact(self, fold, upto: int) -> None:
+        """``fold``: DataFrame -> DataFrame with this log's columns; must give
+        the same result when applied to its own output plus later rows."""
+        current = self.read().where(F.col("batch_id") <= upto)
+        (fold(current).select(*self.schema.fieldNames())
+         .write.mode("overwrite").parquet(f"{self.path}/_snapshot/upto={upto}"))
+        (self.spark.createDataFrame([(upto,)], "upto long")
+         .write.mode("overwrite").parquet(f"{self.path}/_marker"))

@@ -32,6 +32,8 @@ from rateflow.sources import text
 from rateflow.sources.tables import KeyedLog
 
 LINE_SCHEMA = "event_id bigint, value string"
+# Micro-batches between two compactions of a stream's keyed log.
+COMPACT_EVERY = 100
 
 RECENT_STATE = T.StructType([
     T.StructField("userId", T.IntegerType()),
@@ -94,14 +96,20 @@ def _recent_order():
 
 def start_recent_ratings(spark: SparkSession, source: str, table_path: str, checkpoint: str,
                          k: int = RECENT_RATINGS, trigger: dict | None = None,
-                         max_files: int | None = None) -> StreamingQuery:
+                         max_files: int | None = None,
+                         compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     """Rating rows (userId, productId, score, timestamp) -> log of per-batch
     newest-k rows per user; ``recent_from_log`` gives the newest k overall."""
     log = KeyedLog(spark, table_path, RECENT_STATE)
 
+    def fold(rows: DataFrame) -> DataFrame:
+        top = top_k_per_group(rows.select(*RATING.fieldNames()), ["userId"], _recent_order(), k)
+        return top.select(*RECENT_STATE.fieldNames())
+
     def step(batch: DataFrame, batch_id: int) -> None:
-        top = top_k_per_group(batch.select(*RATING.fieldNames()), ["userId"], _recent_order(), k)
-        log.append(top, batch_id)
+        log.append(fold(batch), batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            log.compact(fold, batch_id)
 
     src = _source(spark, source, RATING, max_files)
     w = src.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
@@ -118,7 +126,8 @@ def start_stream_recs(spark: SparkSession, source: str, table_path: str, checkpo
                       sims_path: str, history_path: str, quarantine_path: str,
                       trigger: dict | None = None,
                       max_files: int | None = None, source_format: str = "parquet",
-                      source_options: dict | None = None) -> StreamingQuery:
+                      source_options: dict | None = None,
+                      compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     """Message lines (event_id, value='u|p|score|ts') -> StreamRecs table.
 
     Static inputs are written tables: the similarity table (broadcast only if
@@ -141,6 +150,8 @@ def start_stream_recs(spark: SparkSession, source: str, table_path: str, checkpo
         recents = spark.read.parquet(recents_path)
         recs = scoring.message_recs(good, s, history, recents)
         log.append(latest_recs(recs), batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            log.compact(latest_recs, batch_id)
 
     src = _source(spark, source, LINE_SCHEMA, max_files, source_format, source_options)
     w = src.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)

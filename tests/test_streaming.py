@@ -32,7 +32,7 @@ def test_recent_ratings_stream_equals_batch(spark):
             if f.endswith(".parquet"):
                 os.link(f"{base}/tmp{i}/{f}", f"{src}/b{i}-{f}")
     q = jobs.start_recent_ratings(spark, src, f"{base}/state", f"{base}/ckpt",
-                                  trigger={"availableNow": True}, max_files=1)
+                                  trigger={"availableNow": True}, max_files=1, compact_every=2)
     jobs.run_to_end(q)
     got = jobs.recent_from_log(KeyedLog(spark, f"{base}/state", jobs.RECENT_STATE).read())
     want = scoring.recent_ratings(spark.createDataFrame(rows, schema))
@@ -82,7 +82,7 @@ def test_stream_recs_equals_batch_for_any_split(spark):
     q = jobs.start_stream_recs(spark, src, f"{base}/recs", f"{base}/ckpt",
                                sims_path=f"{base}/sims", history_path=f"{base}/history",
                                quarantine_path=f"{base}/bad",
-                               trigger={"availableNow": True}, max_files=1)
+                               trigger={"availableNow": True}, max_files=1, compact_every=3)
     jobs.run_to_end(q)
     got = scoring.flat_recs(jobs.recs_from_log(KeyedLog(spark, f"{base}/recs", jobs.STREAM_RECS).read()),
                             "userId")
@@ -96,3 +96,19 @@ def test_stream_recs_equals_batch_for_any_split(spark):
         return sorted(out, key=lambda r: (r[0], r[1] or 0))
     assert rows(got) == rows(want)
     assert spark.read.parquet(f"{base}/bad").count() == 1
+
+
+def test_keyed_log_compaction_reads_each_row_once(spark):
+    from pyspark.sql import functions as F
+    base = tempfile.mkdtemp(prefix="rf-log-compact-")
+    log = KeyedLog(spark, f"{base}/t", jobs.RECENT_STATE)
+    schema = jobs.RECENT_STATE
+    for b in range(4):
+        log.append(spark.createDataFrame([(1, 1, 10 + b, 1.0, b), (2, 1, 20 + b, 2.0, b)], schema), b)
+    def fold(df):
+        return df.select(*schema.fieldNames())   # identity fold keeps every row
+    log.compact(fold, 2)
+    assert log.marker() == 2
+    got = sorted(r.productId for r in log.read().collect())
+    assert got == sorted([10 + b for b in range(4)] + [20 + b for b in range(4)])
+    assert log.read().where(F.col("batch_id") == 3).count() == 2
