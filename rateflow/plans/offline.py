@@ -113,16 +113,21 @@ def _itemcf_top10(spark, d):
 @register("itemcf_product_recs",
           fx.with_views("ratings", _COUNTS, _PAIRS, _SIMS, _TOP10) + """
 SELECT c.productId,
-       coalesce(list(struct_pack(productId := t.simProductId, score := round(t.sim, 6))
-                     ORDER BY t.rank) FILTER (WHERE t.simProductId IS NOT NULL), []) AS recs
+       coalesce(list(t.simProductId ORDER BY t.rank) FILTER (WHERE t.simProductId IS NOT NULL),
+                CAST([] AS INTEGER[])) AS recProductIds,
+       coalesce(list(round(t.sim, 6) ORDER BY t.rank) FILTER (WHERE t.simProductId IS NOT NULL),
+                CAST([] AS DOUBLE[])) AS recScores
 FROM c LEFT JOIN top t ON c.productId = t.productId
 GROUP BY c.productId
 """)
 def _itemcf_product_recs(spark, d):
+    """Nested lists (empty for lone products), shown as two aligned arrays --
+    neighbour ids and scores in rank order -- so that engines compare them
+    as plain values."""
     r = itemcf.product_recs(fx.ratings(spark, d))
-    rounded = F.transform("recs", lambda s: F.struct(s["productId"].alias("productId"),
-                                                     F.round(s["score"], 6).alias("score")))
-    return r.select("productId", rounded.alias("recs"))
+    return r.select("productId",
+                    F.transform("recs", lambda e: e["productId"]).alias("recProductIds"),
+                    F.transform("recs", lambda e: F.round(e["score"], 6)).alias("recScores"))
 
 
 @register("similarity_flatten",
