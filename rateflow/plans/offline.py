@@ -101,6 +101,22 @@ def _itemcf_similarity(spark, d):
     return s.select("product1", "product2", round6("sim").alias("sim"))
 
 
+@register("itemcf_similarity_dedup", fx.with_views("ratings", """d AS (
+  SELECT DISTINCT userId, productId FROM ratings)""", """dc AS (
+  SELECT productId, count(*) AS n FROM d GROUP BY productId)""", """dp AS (
+  SELECT a.productId AS product1, b.productId AS product2, count(*) AS co
+  FROM d a JOIN d b ON a.userId = b.userId AND a.productId <> b.productId
+  GROUP BY 1, 2)""") + """
+SELECT p.product1, p.product2,
+       round(p.co / sqrt(CAST(c1.n AS DOUBLE) * CAST(c2.n AS DOUBLE)), 6) AS sim
+FROM dp p JOIN dc c1 ON p.product1 = c1.productId JOIN dc c2 ON p.product2 = c2.productId
+""")
+def _itemcf_similarity_dedup(spark, d):
+    """Ledger option: each (user, product) counted once, so sim <= 1."""
+    s = itemcf.similarity(fx.ratings(spark, d), dedup=True)
+    return s.select("product1", "product2", round6("sim").alias("sim"))
+
+
 @register("itemcf_similarity_top10",
           fx.with_views("ratings", _COUNTS, _PAIRS, _SIMS, _TOP10) + """
 SELECT productId, rank, simProductId, round(sim, 6) AS score FROM top
