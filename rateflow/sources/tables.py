@@ -12,9 +12,14 @@ from rateflow.schemas import PRODUCT, RATING
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                fmt: str = "parquet") -> DataFrame:
-    """Scan a stored table with a fixed schema: no inference, missing columns fail."""
+    """Scan a stored table with a fixed schema: no inference, missing columns fail.
+
+    Self-describing formats (parquet, orc) are read with their stored types and
+    cast to the declared ones, so an int64 id column still loads as INT; other
+    formats get the schema up front.
+    """
     r = spark.read.format(fmt)
-    if schema is not None:
+    if schema is not None and fmt not in ("parquet", "orc"):
         r = r.schema(schema)
     df = r.load(path)
     if schema is not None:
