@@ -54,7 +54,13 @@ def shared_dir(spark: SparkSession) -> str:
     already set on the context).  Only when neither is set -- local runs and
     tests -- a fresh local folder is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) session: no context here
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return d
     d = sc.getCheckpointDir()
     if d:
         return d
