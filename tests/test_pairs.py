@@ -68,3 +68,18 @@ def test_dedup_keeps_similarity_at_most_one(spark):
     ded = {(x.product1, x.product2): x.sim for x in itemcf.similarity(r, dedup=True).collect()}
     assert raw[(10, 20)] > 1 - 1e-12 and raw[(10, 20)] == 3 / (3 * 2) ** 0.5
     assert ded[(10, 20)] == 1 / 2 ** 0.5
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 8)), min_size=1, max_size=60))
+def test_mirrored_half_equals_full_self_join(spark, rows):
+    r = spark.createDataFrame(rows, "userId int, productId int")
+    n = Counter(p for _, p in rows)
+    full = Counter()
+    for u1, p1 in rows:              # the plain self-join on the user, both orders
+        for u2, p2 in rows:
+            if u1 == u2:
+                full[(p1, p2)] += 1
+    got = {(x.product1, x.product2): (x.cocount, x.count1, x.count2)
+           for x in itemcf.cooccurrence(r).collect()}
+    assert got == {k: (v, n[k[0]], n[k[1]]) for k, v in full.items()}
