@@ -4,8 +4,8 @@ Each source has a target number of words.  A document is taken ``floor(p)`` time
 and once more with probability ``p - floor(p)``, where p is its source's target over
 its size.  That last choice is drawn by the cube method: the vector of fractional
 inclusion probabilities moves through the null space of the balancing constraints
-(word total and document total), each move making one of them 0 or 1, until at most
-two are left; those few are landed by the rounding that misses the totals least.
+(word total and document total), each move making one of them 0 or 1, until a dozen
+are left in a source; these are landed by the rounding that misses the totals least.
 
 In Spark the flight runs per (source, block): blocks hold some thousand documents,
 dealt by a hash of the id, so a source with a third of all rows is many blocks.
@@ -34,9 +34,10 @@ SHARE = 1.5      # words of the mix over words of all sources
 MOST = 2.0       # a target's limit over its source's size
 BLOCK = 4096     # documents that fly together at first
 MERGE = 1024     # blocks whose rest flies together at the next level
+LANDING = 12     # documents of a source whose rounding is searched at the end
 SALTS = 64       # a hot source's rows meet its target in so many tasks
 SEED = 11
-_DRAW = "row long, doc_id long, source string, size long, source_size long, target double, block long, p double, copies long"
+_DRAW = "row long, doc_id long, source string, size long, source_size long, target double, block long, last boolean, p double, copies long"
 
 
 def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -58,16 +59,16 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     level = ((F.sum("source_size").over(everything) * share - F.coalesce(F.sum("limit").over(before), F.lit(0.0)))
              / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))))
     # A source is at its limit if the level reached just before it is above it; the
-    # level of the first source that is not holds for all later ones.
+    # level at the first source that is not holds for it and all later ones.
     leveled = ranked.withColumn("own_level", level)
     full = F.col("own_level") * F.col("weight") >= F.col("limit")
-    common = F.min(F.when(~full, F.col("own_level"))).over(everything)
+    common = F.min_by("own_level", F.when(~full, F.col("limit") / F.col("weight"))).over(everything)
     target = F.when(full, F.col("limit")).otherwise(F.least(common * F.col("weight"), F.col("limit")))
     return leveled.select("source", "source_size", "documents", target.alias("target"))
 
 
-def fly(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Flight phase: move fractional probabilities until at most two stay fractional.
+def fly(p: np.ndarray, size: np.ndarray, rng: np.random.Generator, rest: int = 0) -> np.ndarray:
+    """Flight phase: move fractional probabilities until at most two (or ``rest``) stay fractional.
 
     Three documents at a time, as two constraints (words and documents) leave one
     direction of movement for three.  Both moves along it keep the sums of p and of
@@ -81,7 +82,7 @@ def fly(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray
     while True:
         while len(active) < 3 and waiting:
             active.append(waiting.pop())
-        if len(active) < 2:
+        if len(active) < 2 or len(active) + len(waiting) <= rest:
             break
         s = [float(size[k]) for k in active]
         if len(active) == 3:
@@ -106,28 +107,29 @@ def fly(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray
 
 
 def land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Landing phase: round the last fractional values, nearest to both totals."""
+    """Landing phase: of all roundings of the few values left, the nearest to the word total, then to the document total."""
     left = np.flatnonzero((p > 0) & (p < 1))
     if not len(left):
         return p
-    words, number = float((p[left] * size[left]).sum()), float(p[left].sum())
-    options = [np.array([(m >> i) & 1 for i in range(len(left))]) for m in range(1 << len(left))]
-    best = min(options, key=lambda o: (abs(float((o * size[left]).sum()) - words), abs(o.sum() - number), o.tolist()))
+    options = (np.arange(1 << len(left))[:, None] >> np.arange(len(left))) & 1
+    words = np.abs(options @ size[left] - p[left] @ size[left])
+    number = np.abs(options.sum(1) - p[left].sum())
     p = p.copy()
-    p[left] = best
+    p[left] = options[np.lexsort((number, words))[0]]
     return p
 
 
-def _level(level: int, last: bool, seed: int):
-    """Flight of one block; the last one of a source also lands."""
+def _level(level: int, seed: int):
+    """Flight of one block; a source's only block also lands."""
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        # Large documents first: what stays open at the end is small.
-        block = block.sort_values(["size", "row", "doc_id"], ascending=[False, True, True], kind="stable", na_position="last")
+        # Large documents last: the roundings of these few reach almost any word total.
+        block = block.sort_values(["size", "row", "doc_id"], kind="stable", na_position="last")
         source = block["source"].iloc[0]
         key = f"{seed}/{level}/{source is None}/{source}/{block['block'].iloc[0]}"
         rng = np.random.default_rng(zlib.crc32(key.encode()))
         size = block["size"].to_numpy()
-        p = fly(block["p"].to_numpy(), size, rng)
+        last = block["last"].iloc[0]
+        p = fly(block["p"].to_numpy(), size, rng, LANDING if last else 0)
         if last:
             p = land(p, size)
         done = (p <= 0) | (p >= 1)
@@ -160,23 +162,19 @@ def draw(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
     rows = (left.join(salted.alias("t"), (F.col("d.salt") == F.col("t.salt")) & F.col("d.source").eqNullSafe(F.col("t.source")))
             .select("d.row", "d.doc_id", "d.source", "d.size", "t.source_size", "t.target",
                     bucket_of(F.ceil(F.col("t.documents") / BLOCK), F.lit(5), F.col("d.row")).alias("block"),
-                    F.greatest(ratio - whole, F.lit(0.0)).alias("p"), whole.cast("long").alias("copies"))
+                    (F.col("t.documents") <= BLOCK).alias("last"), F.greatest(ratio - whole, F.lit(0.0)).alias("p"), whole.cast("long").alias("copies"))
             .withColumn("p", F.when(F.col("p") < 1e-9, 0.0).otherwise(F.col("p"))))
     settled, level = [], 0
     while True:
         # Each level is written to the shared checkpoint folder: a lost executor
         # repeats a level at most, and both its outputs come from one computation.
-        rows = rows.groupBy("source", "block").applyInPandas(_level(level, False, seed), _DRAW).checkpoint()
+        rows = rows.groupBy("source", "block").applyInPandas(_level(level, seed), _DRAW).checkpoint()
         settled.append(rows.where("p = 0"))
         rest = rows.where("p > 0")
         blocks = rest.agg(F.max("block")).first()[0]
         if blocks is None:
             break
-        if blocks < MERGE:
-            rest = rest.withColumn("block", F.lit(0).cast("long"))
-            settled.append(rest.groupBy("source", "block").applyInPandas(_level(level + 1, True, seed), _DRAW))
-            break
-        rows, level = rest.withColumn("block", F.floor(F.col("block") / MERGE)), level + 1
+        rows, level = rest.withColumn("block", F.floor(F.col("block") / MERGE)).withColumn("last", F.lit(blocks < MERGE)), level + 1
     out = settled[0]
     for more in settled[1:]:
         out = out.unionByName(more)

@@ -63,7 +63,7 @@ def labelled_kmers(codes: np.ndarray) -> np.ndarray:
         first = np.searchsorted(at[order], np.arange(len(distinct)))
         nth = np.empty(len(h), np.uint64)
         nth[order] = np.arange(len(h)) - first[at[order]]
-        h = _mixed(h + nth * _P1)
+        h = np.where(nth > 0, _mixed(h + nth * _P1), h)
     return h
 
 

@@ -16,60 +16,62 @@ repeated rows score alike; further columns pass through.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from rateflow.llm.common import append_columns, find_words
+from rateflow.llm.common import append_columns
 
-BUCKETS = 1 << 17          # rows of the vector table
-PAIRS = 1 << 12            # the first of them are for pairs of neighbouring words
+GRAMS = 1 << 17            # vectors of words and n-grams
+PAIRS = 1 << 12            # vectors of pairs of neighbouring words, before the others
+BUCKETS = PAIRS + GRAMS
 DIM = 8
-NGRAMS = (3, 4)
-EPOCHS = 6
+EPOCHS = 5
 RATE = 0.5
 SEED = 7
 # Documents that the model is fitted on: those with the smallest hash of their id.
-MAX_TRAIN_DOCS = 3000
-# Distinct words a task remembers before it starts afresh.
-MAX_WORDS = 300_000
+MAX_TRAIN_DOCS = 2500
+
+_P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_BLANK = np.uint64(32)
 
 
-def word_buckets(word: str) -> list[int]:
-    """Buckets of the word and of its character n-grams, ends marked."""
-    marked = f"<{word[:64]}>"
-    keys = [marked, *(marked[i:i + n] for n in NGRAMS for i in range(len(marked) - n + 1))]
-    if len(word) > 64:  # the n-grams of the rest too: whole words count
-        keys += [word[i:i + n] for n in NGRAMS for i in range(60, len(word) - n + 1)]
-    return [PAIRS + zlib.crc32(k.encode("utf-8", "surrogatepass")) % (BUCKETS - PAIRS) for k in keys]
+def _gram(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * _Q
+    return PAIRS + ((h >> np.uint64(40)) & np.uint64(GRAMS - 1)).astype(np.int64)
 
 
-def pair_buckets(codes: np.ndarray) -> np.ndarray:
-    """Buckets of neighbouring words; a word that follows itself always has bucket 0."""
-    return ((codes[1:] ^ codes[:-1]) * np.int64(0x9E3779B1) >> 7) & (PAIRS - 1)
+def buckets(text: str | None) -> np.ndarray:
+    """The buckets of a whole text's words, character n-grams and word pairs.
+
+    Works on code points, with every run of white space as one blank, which marks the
+    ends of words: n-grams of 3 and 4 have blanks at their ends only.  Equal
+    neighbours always make pair 0, so repeated words are one feature.
+    """
+    a = np.frombuffer(f" {text or ''} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    white = (a == 32) | ((a >= 9) & (a <= 13))
+    a = np.where(white, _BLANK, a.astype(np.uint64))
+    a = a[~(white & np.concatenate(([False], white[:-1])))]
+    blank = a == _BLANK
+    ends = np.flatnonzero(blank)
+    if len(ends) < 2:
+        return np.zeros(0, np.int64)
+    starts = ends[:-1] + 1
+    three = (a[:-2] * _P + a[1:-1]) * _P + a[2:]
+    four = three[:-1] * _P + a[3:]
+    lengths = np.diff(ends)
+    place = np.arange(1, len(a)) - np.repeat(starts, lengths)
+    powers = np.multiply.accumulate(np.full(int(lengths.max()) + 1, _P))
+    words = np.add.reduceat(a[1:] * powers[place], starts - 1)
+    pairs = (words[1:] ^ words[:-1]) * _Q >> np.uint64(52)
+    return np.concatenate([
+        pairs.astype(np.int64), _gram(words * _Q + np.uint64(1)), _gram(three[~blank[1:-1]]),
+        _gram(four[~(blank[1:-2] | blank[2:-1])] + np.uint64(2))])
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a whole text and how often each occurs."""
-    words = find_words(text or "")
-    if not words:
-        return np.zeros(0, np.int32), np.zeros(0, np.float32)
-    own: dict[str, int] = {}
-    for w in words:
-        own[w] = own.get(w, 0) + 1
-    ids, times = [], []
-    for w, n in own.items():
-        b = word_buckets(w)
-        ids += b
-        times += [n] * len(b)
-    codes = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words], np.int64)
-    pairs = pair_buckets(codes)
-    ids = np.concatenate([np.array(ids, np.int64), pairs])
-    times = np.concatenate([np.array(times, np.float64), np.ones(len(pairs))])
-    total = np.bincount(ids, times, minlength=1)
-    found = np.flatnonzero(total)
-    return found.astype(np.int32), total[found].astype(np.float32)
+    found, times = np.unique(buckets(text), return_counts=True)
+    return found.astype(np.int32), times.astype(np.float32)
 
 
 def fit(examples: list[tuple[str | None, int]]) -> tuple[np.ndarray, float]:
@@ -108,45 +110,11 @@ def fit(examples: list[tuple[str | None, int]]) -> tuple[np.ndarray, float]:
     return (vectors.astype(np.float64) @ (out[:, 1] - out[:, 0]).astype(np.float64)), float(bias[1] - bias[0])
 
 
-class Scorer:
-    """Scores whole texts from the folded weights, remembering words it has seen."""
-
-    def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias = weights, bias
-        self.forget()
-
-    def forget(self) -> None:
-        self.at: dict[str, int] = {}
-        self.sums, self.counts, self.codes = [], [], []
-
-    def _learn(self, word: str) -> int:
-        b = word_buckets(word)
-        self.sums.append(float(self.weights[b].sum()))
-        self.counts.append(len(b))
-        self.codes.append(zlib.crc32(word.encode("utf-8", "surrogatepass")))
-        self.at[word] = len(self.sums) - 1
-        return len(self.sums) - 1
-
-    def __call__(self, texts: list[str | None]) -> list[float]:
-        docs = []
-        if len(self.at) > MAX_WORDS:
-            self.forget()
-        get, learn = self.at.get, self._learn
-        for t in texts:
-            at = []
-            for w in find_words(t or ""):
-                k = get(w)
-                at.append(learn(w) if k is None else k)
-            docs.append(np.array(at, np.int64))
-        sums, counts, codes = np.array(self.sums), np.array(self.counts, np.int64), np.array(self.codes, np.int64)
-        scores = []
-        for at in docs:
-            z = self.bias
-            if len(at):
-                pairs = pair_buckets(codes[at])
-                z += (sums[at].sum() + self.weights[pairs].sum()) / (counts[at].sum() + len(pairs))
-            scores.append(float(1 / (1 + np.exp(-np.clip(z, -500, 500)))))
-        return scores
+def probability(text: str | None, weights: np.ndarray, bias: float) -> float:
+    """Probability of label 1 for a whole text, by the folded weights."""
+    found = buckets(text)
+    z = bias + (float(weights[found].mean()) if len(found) else 0.0)
+    return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -179,13 +147,12 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text",
           name: str = "score") -> DataFrame:
     """``docs`` with the probability of label 1 for every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast((model[0].astype(np.float32), model[1]))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 
     def start():
         weights, bias = shared.value
-        scorer = Scorer(weights.astype(np.float64), bias)
-        return lambda batch: [scorer(batch.column(at).to_pylist())]
+        return lambda batch: [[probability(t, weights, bias) for t in batch.column(at).to_pylist()]]
 
     return append_columns(docs, [T.StructField(name, T.DoubleType())], start)
 

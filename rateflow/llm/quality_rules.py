@@ -37,7 +37,8 @@ BIT = {name: 1 << i for i, (name, _) in enumerate(RULES)}
 # Versioned policies: the mask of the rules that reject a document.
 POLICIES = {
     1: BIT["few_words"] | BIT["repeated_words"],
-    2: sum(BIT.values()),
+    2: BIT["few_words"] | BIT["repeated_words"] | BIT["word_length"] | BIT["symbols"],
+    3: sum(BIT.values()),  # strict: repeated lines too, which also costs good documents
 }
 BASE_POLICY, CURRENT_POLICY = 1, 2
 
@@ -129,12 +130,12 @@ def verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 ORACLE = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
-             list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
 tri AS (SELECT r, i, words[i : i + 2] AS t FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
 twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, t) AS n FROM tri) WHERE n > 1),
 rep AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) AS o(k) GROUP BY r),
 m AS (SELECT doc_id, len(words) AS n_words,
-             coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+             coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
              length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
              len(lines) - len(list_distinct(lines)) AS n_dup_lines,
              coalesce(rep.n, 0) AS n_repeat_words, len(lines) AS n_lines FROM w LEFT JOIN rep USING (r)),

@@ -199,8 +199,8 @@ ORACLE = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS hex FROM p),
 g AS (SELECT page_id, payload_bytes,
-             list_aggregate(list_transform(range(0, 8), k ->
-                 list_aggregate(list_transform([15, 10, 5, 0], s ->
+             list_aggregate(list_transform(range(0, 8), lambda k:
+                 list_aggregate(list_transform([15, 10, 5, 0], lambda s:
                      '{_DIGITS}'[(((('0x' || substr(hex, (k * 5 + 1)::INT, 5))::BIGINT >> s) & 31) + 1)::INT]), 'string_agg', '')),
                  'string_agg', '') AS payload_digest FROM d),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM g)
