@@ -1,0 +1,85 @@
+"""Mix: targets by brute force, totals met, bounds, reruns, awkward rows."""
+
+import random
+from collections import defaultdict
+
+import numpy as np
+from llm.helpers import AWKWARD, docs
+from rateflow.llm import mixing as m
+
+
+def brute_targets(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, full = share * sum(sizes.values()), set()
+    while True:
+        left = total - sum(most * sizes[s] for s in full)
+        free = sum(w[s] for s in names if s not in full)
+        target = {s: most * sizes[s] if s in full else left * w[s] / free for s in names}
+        over = {s for s in names if s not in full and target[s] > most * sizes[s] + 1e-9}
+        if not over:
+            return target
+        full |= over
+
+
+def table(spark, n=700, seed=2):
+    rng = random.Random(seed)
+    rows = [(i, " ".join("w" * rng.randrange(1, 4) for _ in range(int(rng.lognormvariate(4, 1)))),
+             rng.choice(["b", "a", None, "é", "Z", "big", "big", "big"])) for i in range(n)]
+    return docs(spark, rows, ["size", "target", "block", "p"]), rows
+
+
+def test_targets_totals_and_reruns(spark):
+    d, rows = table(spark)
+    got = m.mix(d).collect()
+    assert sorted(r.doc_id for r in got) == [r[0] for r in rows]
+    sizes = defaultdict(int)
+    for _, t, s in rows:
+        sizes[s] += len(t.split())
+    want, taken = brute_targets(sizes), defaultdict(int)
+    for r in got:
+        assert r.source_size == sizes[r.source] and abs(r.target - want[r.source]) < 1e-6
+        assert r.taken in (0, r.size, 2 * r.size)
+        taken[r.source] += r.taken
+    assert all(abs(taken[s] - want[s]) <= 0.01 * want[s] + 5 for s in want)
+    again = {r.doc_id: r.taken for r in m.mix(d.repartition(7)).collect()}
+    assert again == {r.doc_id: r.taken for r in got}
+
+
+def test_many_blocks_and_levels(spark, monkeypatch):
+    monkeypatch.setattr(m, "BLOCK", 16)
+    monkeypatch.setattr(m, "MERGE", 4)
+    d, rows = table(spark, 900, 5)
+    got = m.mix(d).collect()
+    taken, target = defaultdict(int), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert len(got) == 900
+    assert all(abs(taken[s] - target[s]) <= 0.02 * target[s] + 5 for s in target)
+
+
+def test_flight_keeps_both_totals():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 3, 50, 400):
+        p, size = rng.random(n), rng.integers(0, 500, n)
+        out = m.fly(p, size, rng)
+        assert abs(out.sum() - p.sum()) < 1e-6 and abs((out * size).sum() - (p * size).sum()) < 1e-3
+        assert ((out > 0) & (out < 1)).sum() <= 2
+        landed = m.land(out, size)
+        assert set(landed) <= {0.0, 1.0}
+
+
+def test_inclusion_probabilities_are_kept():
+    size = np.array([5, 9, 20, 3, 14, 7, 30, 11])
+    p = np.full(8, 0.4)
+    mean = np.mean([m.fly(p, size, np.random.default_rng(k)) for k in range(3000)], axis=0)
+    assert np.abs(mean - 0.4).max() < 0.04
+
+
+def test_awkward_rows(spark):
+    rows = [(*r, s) for r, s in zip(AWKWARD, [None, "x", "x", "y", None, "y", "x", "x", "x", "z", "empty"])]
+    got = m.mix(docs(spark, [*rows, (50, None, "none")])).collect()
+    assert len(got) == len(rows) + 1
+    assert all(r.taken == 0 for r in got if r.size == 0)
+    assert m.mix(docs(spark, [])).collect() == []

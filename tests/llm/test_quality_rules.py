@@ -1,0 +1,47 @@
+"""Rule ledger: brute force, policies, ablations, awkward rows."""
+
+import random
+import re
+
+from llm.helpers import AWKWARD, docs
+from rateflow.llm import quality_rules as q
+
+
+def brute(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    tri = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    covered = {i + k for i, t in enumerate(tri) if tri.count(t) > 1 for k in range(3)}
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""),
+            sum(x in lines[:i] for i, x in enumerate(lines)), len(covered), len(lines))
+
+
+def test_measurements_equal_brute_force():
+    rng = random.Random(1)
+    for _ in range(300):
+        t = "".join(rng.choice(["a ", "b ", "c ", "\n", "# ", "\t", "dé ", "|x ", "\x1c"]) for _ in range(rng.randrange(40)))
+        assert q.measure(t) == brute(t), repr(t)
+    assert q.measure("a a a a")[4] == 4
+
+
+def test_verdicts_on_awkward_rows(spark):
+    got = q.verdicts(docs(spark, AWKWARD, ["n_words", "failures", "kept"])).collect()
+    assert len(got) == len(AWKWARD)
+    by = {r.doc_id: r for r in got}
+    assert by[1].n_words == by[2].n_words == by[3].n_words == 0 and by[1].base_failed and not by[1].kept
+    assert by[8].n_words == 30_000 and by[8].base_failed  # every window is repeated
+    assert by[9].n_words == len(re.findall(r"[^\x20\x09-\x0D]+", dict((r[0], r[1]) for r in AWKWARD)[9]))
+    assert q.verdicts(docs(spark, [])).collect() == []
+
+
+def test_policies_and_ablations(spark):
+    clean = " ".join(f"w{i}x" for i in range(60))
+    rows = [(1, clean), (2, clean + " ###" * 8), (3, "short"), (4, "short ##"), (5, "ab cd ef " * 40)]
+    ledger = q.verdicts(docs(spark, rows))
+    kept = {r.doc_id: (r.kept, r.base_failed) for r in ledger.collect()}
+    assert kept == {1: (True, False), 2: (False, False), 3: (False, True), 4: (False, True), 5: (False, True)}
+    by = {r.rule: r for r in q.ablations(ledger).collect()}
+    assert by["symbols"].failed == 2 and by["symbols"].rejected_by_it_alone == 1
+    assert by["few_words"].kept_without_it == 2  # documents 1 and 3
+    assert all(r.documents == 5 for r in by.values())
+    assert len(q.ablations(ledger, q.BASE_POLICY).collect()) == 2
