@@ -1,31 +1,11 @@
-"""SQL surface: the month function as a SQL function (inlined by Catalyst, no
-Python) and the statistics as SQL text over temp views."""
+"""SQL surface: the month function as a SQL function, inlined by Catalyst (no Python)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def register_sql_functions(spark: SparkSession) -> None:
     """``changeDate(epoch_seconds INT) -> yyyyMM INT`` for ad-hoc SQL."""
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION changeDate(x INT) RETURNS INT "
               "RETURN CAST(date_format(timestamp_seconds(x), 'yyyyMM') AS INT)")
-
-
-# The statistics as SQL over a rating view (placeholder {ratings}).
-STATISTICS_SQL = {
-    "rate_more_products":
-        "SELECT productId, count(productId) AS count FROM {ratings} "
-        "GROUP BY productId ORDER BY count",
-    "rate_more_recently_products":
-        "SELECT productId, count(productId) AS count, yearmonth FROM "
-        "(SELECT productId, score, changeDate(timestamp) AS yearmonth FROM {ratings}) "
-        "GROUP BY yearmonth, productId ORDER BY yearmonth DESC, count DESC",
-    "average_products":
-        "SELECT productId, avg(score) AS avg FROM {ratings} GROUP BY productId ORDER BY avg DESC",
-}
-
-
-def statistics_sql(spark: SparkSession, ratings_view: str) -> dict[str, DataFrame]:
-    register_sql_functions(spark)
-    return {k: spark.sql(v.format(ratings=ratings_view)) for k, v in STATISTICS_SQL.items()}

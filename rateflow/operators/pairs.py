@@ -18,18 +18,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Items per block of a split group, and the largest split of one group.
+# Items per block of a split group.
 BLOCK_ITEMS = 1024
-MAX_SPLIT = 64
 
 
 def pair_sums(df: DataFrame, group: str, item: str, weight: str,
               out: tuple[str, str, str] = ("item1", "item2", "total"),
-              block_items: int = BLOCK_ITEMS, max_split: int = MAX_SPLIT) -> DataFrame:
+              block_items: int = BLOCK_ITEMS) -> DataFrame:
     """(item1 < item2, total); ``df`` must hold one row per (group, item)."""
     size = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    split = F.least(F.lit(max_split),
-                    F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_items))))
+    split = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_items)))
     rows = (df.select(group, item, weight)
             .join(size.select(group, split.cast("int").alias("_s")), group)
             .withColumn("_blk", F.pmod(F.xxhash64(item), F.col("_s")).cast("int")))

@@ -22,14 +22,6 @@ from rateflow.functions.exprs import (CANDIDATES, LIKE_ABOVE, MIN_SCORING_SIM, R
                                       rank_key, recommendation_level)
 from rateflow.operators.topk import empty_recs, nest, rank_within, top_k_per_group
 
-# Largest similarity table that is shipped whole to every executor.
-BROADCAST_MAX_ROWS = 5_000_000
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after counting the rows; otherwise a shuffled join."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
 
 def recent_ratings(history: DataFrame, k: int = RECENT_RATINGS) -> DataFrame:
     """(userId, rank, productId, score): newest k ratings per user.
@@ -51,7 +43,7 @@ def candidates(messages: DataFrame, sims: DataFrame, rated: DataFrame,
          .select("event_id", "userId", F.col("simProductId").alias("productId"), "sim"))
     seen = rated.select("userId", "productId")
     c = c.join(seen, ["userId", "productId"], "left_anti")
-    t = top_k_per_group(c, ["event_id"], [rank_key("sim").desc(), F.col("productId").asc()], k)
+    t = top_k_per_group(c, ["event_id", "userId"], [rank_key("sim").desc(), F.col("productId").asc()], k)
     return t.select("event_id", "userId", "rank", "productId", "sim")
 
 
@@ -87,7 +79,7 @@ def scores(cands: DataFrame, recents: DataFrame, sims: DataFrame,
 
 def ranked_scores(sc: DataFrame) -> DataFrame:
     """Adds ``rank`` per message: score desc, then product id."""
-    return rank_within(sc, ["event_id"], [rank_key("score").desc(), F.col("productId")])
+    return rank_within(sc, ["event_id", "userId"], [rank_key("score").desc(), F.col("productId")])
 
 
 def message_recs(messages: DataFrame, sims: DataFrame, rated: DataFrame,
@@ -96,10 +88,10 @@ def message_recs(messages: DataFrame, sims: DataFrame, rated: DataFrame,
     first and empty when nothing scored."""
     cand = candidates(messages, sims, rated)
     ranked = ranked_scores(scores(cand, recents, sims))
-    nested = nest(ranked.select("event_id", "rank", "productId", "score"), "event_id",
+    nested = nest(ranked.select("event_id", "userId", "rank", "productId", "score"), ["event_id", "userId"],
                   items=(("productId", "productId"), ("score", "score")))
     m = messages.select("event_id", "userId", "timestamp")
-    return (m.join(nested, "event_id", "left")
+    return (m.join(nested, ["event_id", "userId"], "left")
             .select("event_id", "userId", "timestamp",
                     F.coalesce("recs", empty_recs()).alias("recs")))
 

@@ -11,7 +11,7 @@ from rateflow.functions.exprs import year_month
 def rate_more_products(ratings: DataFrame, descending: bool = False) -> DataFrame:
     """Ratings per product.  The original list is sorted by count ascending."""
     c = ratings.groupBy("productId").agg(F.count("productId").alias("count"))
-    return c.orderBy(F.col("count").desc() if descending else F.col("count").asc())
+    return c.orderBy(F.col("count").desc() if descending else F.col("count").asc(), "productId")
 
 
 def rating_year_month(ratings: DataFrame) -> DataFrame:
@@ -24,12 +24,12 @@ def rate_more_recently_products(ratings: DataFrame) -> DataFrame:
          .groupBy("yearmonth", "productId")
          .agg(F.count("productId").alias("count")))
     return (c.select("productId", "count", "yearmonth")
-            .orderBy(F.col("yearmonth").desc(), F.col("count").desc()))
+            .orderBy(F.col("yearmonth").desc(), F.col("count").desc(), "productId"))
 
 
 def average_products(ratings: DataFrame) -> DataFrame:
     a = ratings.groupBy("productId").agg(F.avg("score").alias("avg"))
-    return a.orderBy(F.col("avg").desc())
+    return a.orderBy(F.col("avg").desc(), "productId")
 
 
 def distinct_users(ratings: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ def rank_within(df: DataFrame, group_cols, order_cols, rank_col: str = "rank") -
     return df.withColumn(rank_col, F.row_number().over(w))
 
 
-def nest(df: DataFrame, key: str, rank_col: str = "rank",
+def nest(df: DataFrame, key: str | list[str], rank_col: str = "rank",
          items=(("simProductId", "productId"), ("score", "score")),
          out_col: str = "recs") -> DataFrame:
     """Flat ranked rows -> one row per key with an ordered array of structs.
@@ -35,7 +35,8 @@ def nest(df: DataFrame, key: str, rank_col: str = "rank",
     packed = F.sort_array(F.collect_list(F.struct(F.col(rank_col).alias("_r"), *fields)))
     names = [dst for _, dst in items]
     strip = F.transform(F.col("_l"), lambda s: F.struct(*[s[n].alias(n) for n in names]))
-    return df.groupBy(key).agg(packed.alias("_l")).select(key, strip.alias(out_col))
+    keys = [key] if isinstance(key, str) else key
+    return df.groupBy(*keys).agg(packed.alias("_l")).select(*keys, strip.alias(out_col))
 
 
 def empty_recs() -> Column:

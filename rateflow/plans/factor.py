@@ -33,13 +33,6 @@ SELECT userId, productId, score, "timestamp", split FROM split
 """)(_split)
 
 
-def _mean_predictions(s):
-    """Held-out (user, product) pairs scored with the product's training mean;
-    products never seen in training fall out."""
-    pairs = s.where(F.col("split") == "test").select("userId", "productId").distinct()
-    return pairs.join(_train_means(s), "productId")
-
-
 @register("prediction_rmse", fx.with_views("ratings_orders", SPLIT_SQL) + """
 SELECT round(sqrt(avg((t.score - m.pred) * (t.score - m.pred))), 6) AS rmse, count(*) AS n
 FROM split t JOIN means m ON t.productId = m.productId
@@ -47,7 +40,7 @@ WHERE t.split = 'test'
 """)
 def _prediction_rmse(spark, d):
     s = _split(spark, d)
-    r = als.rmse(s.where(F.col("split") == "test"), _mean_predictions(s))
+    r = als.rmse(s.where(F.col("split") == "test").join(_train_means(s), "productId"))
     return r.select(round6("rmse").alias("rmse"), "n")
 
 
@@ -56,13 +49,17 @@ SELECT userId, rank, productId, round(score, 6) AS score FROM (
   SELECT p.userId, p.productId, m.pred AS score,
          CAST(row_number() OVER (PARTITION BY p.userId
               ORDER BY round(m.pred, 9) DESC, p.productId) AS INTEGER) AS rank
-  FROM (SELECT DISTINCT userId, productId FROM split WHERE split = 'test') p
+  FROM (SELECT DISTINCT userId, productId FROM split) p
   JOIN means m ON p.productId = m.productId
   WHERE m.pred > 0)
 WHERE rank <= 20
 """)
 def _top_k_per_user(spark, d):
-    p = _mean_predictions(_split(spark, d)).where(F.col("prediction") > 0)
+    """Every rated pair scored with the product's training mean; products never seen in
+    training fall out."""
+    s = _split(spark, d)
+    p = (s.select("userId", "productId").distinct().join(_train_means(s), "productId")
+         .where(F.col("prediction") > 0))
     t = top_k_per_group(p, ["userId"], [rank_key("prediction").desc(), F.col("productId")], 20)
     return t.select("userId", "rank", "productId", round6("prediction").alias("score"))
 

@@ -44,12 +44,13 @@ def _load_ratings(spark, d):
     return good
 
 
-_MSG_PARSED = """parsed AS (
+def msg_parsed(lines: str) -> str:
+    return f"""parsed AS (
   SELECT event_id, value, string_split(regexp_replace(value, '(?:\\|)+$', ''), '|') AS f
-  FROM message_lines)"""
+  FROM {lines})"""
 
 
-@register("rating_message_parse", fx.with_views("message_lines", _MSG_PARSED) + f"""
+@register("rating_message_parse", fx.with_views("rating_message_lines", msg_parsed("rating_message_lines")) + f"""
 SELECT event_id, {_RATING_CASTS} FROM parsed WHERE {_ALL_CAST}
 """)
 def _rating_message_parse(spark, d):
@@ -58,7 +59,7 @@ def _rating_message_parse(spark, d):
     return good
 
 
-@register("rating_message_quarantine", fx.with_views("message_lines", _MSG_PARSED) + f"""
+@register("rating_message_quarantine", fx.with_views("rating_message_lines", msg_parsed("rating_message_lines")) + f"""
 SELECT event_id, value, CASE WHEN len(f) < 4 THEN 'short_row' ELSE 'bad_value' END AS reason
 FROM parsed WHERE NOT ({_ALL_CAST})
 """)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rateflow.functions.exprs import round6
-from rateflow.functions.sql import statistics_sql
+from rateflow.functions.sql import register_sql_functions
 from rateflow.operators import itemcf, stats
 from rateflow.operators.topk import flatten
 from rateflow.plans.registry import register
@@ -32,7 +32,13 @@ register("rate_more_recently_products", _RECENTLY_SQL)(
 def _rate_more_recently_products_sql(spark, d):
     """Same statistic through the SQL surface: temp views + changeDate SQL function."""
     fx.register_views(spark, d)
-    return statistics_sql(spark, "rateflow_ratings_orders")["rate_more_recently_products"]
+    register_sql_functions(spark)
+    return spark.sql("""
+        FROM rateflow_ratings_orders
+        |> SELECT productId, changeDate(`timestamp`) AS yearmonth
+        |> AGGREGATE count(*) AS count GROUP BY productId, yearmonth
+        |> SELECT productId, count, yearmonth
+        |> ORDER BY yearmonth DESC, count DESC, productId""")
 
 
 @register("average_products", fx.with_views("ratings_orders") + """

@@ -10,11 +10,17 @@ from pyspark.sql import functions as F
 from rateflow.functions.exprs import round6
 from rateflow.operators import scoring
 from rateflow.plans.registry import register
-from rateflow.schemas import USER_RECS
 from rateflow.session import scratch_path
 from rateflow.sources import fixtures as fx
-from rateflow.sources.tables import VersionedTable
+from rateflow.sources.tables import KeyedLog
+from rateflow.streaming.jobs import STREAM_RECS, latest_recs, recs_from_log
 
+# All stored and incoming ratings count for the list of recent ratings itself.
+ALL_RECENTS_SQL = """recents AS (
+  SELECT userId, CAST(row_number() OVER (PARTITION BY userId
+                  ORDER BY "timestamp" DESC, productId ASC, score DESC) AS INTEGER) AS rank,
+         productId, score
+  FROM ratings QUALIFY rank <= 21)"""
 RECENTS_SQL = """recents AS (
   SELECT userId, CAST(row_number() OVER (PARTITION BY userId
                   ORDER BY "timestamp" DESC, productId ASC, score DESC) AS INTEGER) AS rank,
@@ -53,9 +59,9 @@ def _inputs(spark, d, messages=None):
     return msgs, hist, sims, scoring.recent_ratings(hist)
 
 
-register("user_recent_ratings", fx.with_views("history", RECENTS_SQL) + """
+register("user_recent_ratings", fx.with_views("ratings", ALL_RECENTS_SQL) + """
 SELECT userId, rank, productId, score FROM recents
-""")(lambda spark, d: scoring.recent_ratings(fx.history(spark, d)))
+""")(lambda spark, d: scoring.recent_ratings(fx.ratings(spark, d)))
 
 
 @register("candidate_products", fx.with_views(ONLINE_VIEWS, CAND_SQL) + """
@@ -116,12 +122,12 @@ FROM latest l LEFT JOIN ranked r ON l.event_id = r.event_id
 """)
 def _stream_recs_upsert(spark, d):
     """Two micro-batches of messages (before / after a fixed time) upserted in
-    turn into a versioned StreamRecs table; the last list per user wins."""
+    turn into the StreamRecs log; the last list per user wins."""
     msgs, hist, sims, recents = _inputs(spark, d)
-    table = VersionedTable(spark, scratch_path(spark, "StreamRecs"), "userId", USER_RECS)
+    msgs = msgs.withColumn("event_id", F.lpad(F.col("event_id").cast("string"), 20, "0"))
+    log = KeyedLog(spark, scratch_path(spark, "StreamRecs"), STREAM_RECS)
     sims = sims.checkpoint()          # used by both batches, twice each
-    for version, part in enumerate([msgs.where(F.col("timestamp") < SPLIT_EPOCH),
-                                    msgs.where(F.col("timestamp") >= SPLIT_EPOCH)]):
-        recs = scoring.message_recs(part, sims, hist, recents)
-        table.upsert(scoring.latest_per_user(recs), version)
-    return _flat_rounded(table.read(), "userId")
+    for batch, part in enumerate([msgs.where(F.col("timestamp") < SPLIT_EPOCH),
+                                  msgs.where(F.col("timestamp") >= SPLIT_EPOCH)]):
+        log.append(latest_recs(scoring.message_recs(part, sims, hist, recents)), batch)
+    return _flat_rounded(recs_from_log(log.read()), "userId")

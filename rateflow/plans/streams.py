@@ -1,10 +1,14 @@
 """Streaming queries: each writes its input as files, runs the stream to the
-end of the available data (availableNow) and returns the result table."""
+end of the available data (availableNow) and returns the result table.  The
+stateful streams are run, stopped and run again with newer files, so state is
+read back from its log and the checkpoint."""
 
 from __future__ import annotations
 
-from rateflow.plans.io_checks import LOG_FILTER_SQL, _ALL_CAST, _MSG_PARSED, _RATING_CASTS
-from rateflow.plans.online import (CAND_SQL, LATEST_SQL, ONLINE_VIEWS, RECENTS_SQL, SCORED_SQL,
+from pyspark.sql import functions as F
+
+from rateflow.plans.io_checks import LOG_FILTER_SQL, _ALL_CAST, _RATING_CASTS, msg_parsed
+from rateflow.plans.online import (ALL_RECENTS_SQL, LATEST_SQL, ONLINE_VIEWS, SPLIT_EPOCH,
                                    _flat_rounded)
 from rateflow.plans.registry import register
 from rateflow.session import scratch_path
@@ -13,52 +17,81 @@ from rateflow.sources.tables import KeyedLog, as_ratings
 from rateflow.streaming import jobs
 
 AVAILABLE_NOW = {"availableNow": True}
-# Input files per stream; one file per micro-batch, so every stateful merge runs.
-SOURCE_FILES = 4
 
 
 @register("log_rating_filter_streaming", LOG_FILTER_SQL)
 def _log_rating_filter_streaming(spark, d):
     base = scratch_path(spark, "log-stream")
-    fx.log_lines(spark, d).repartition(SOURCE_FILES).write.parquet(f"{base}/source")
+    fx.log_lines(spark, d).write.parquet(f"{base}/source")
     q = jobs.start_log_filter(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint",
-                              trigger=AVAILABLE_NOW, max_files=1)
+                              trigger=AVAILABLE_NOW)
     jobs.run_to_end(q)
     return spark.read.parquet(f"{base}/sink").select("event_id", "value")
 
 
-@register("user_recent_ratings_streaming", fx.with_views("history", RECENTS_SQL) + """
+@register("user_recent_ratings_streaming", fx.with_views("ratings", ALL_RECENTS_SQL) + """
 SELECT userId, rank, productId, score FROM recents
 """)
 def _user_recent_ratings_streaming(spark, d):
     base = scratch_path(spark, "recent-stream")
-    as_ratings(fx.history(spark, d)).repartition(SOURCE_FILES).write.parquet(f"{base}/source")
-    q = jobs.start_recent_ratings(spark, f"{base}/source", f"{base}/state", f"{base}/checkpoint",
-                                  trigger=AVAILABLE_NOW, max_files=1)
-    jobs.run_to_end(q)
+    rows = as_ratings(fx.ratings(spark, d))
+    for newer in (False, True):
+        part = rows.where((F.col("timestamp") >= SPLIT_EPOCH) == newer)
+        part.write.mode("append").parquet(f"{base}/source")
+        q = jobs.start_recent_ratings(spark, f"{base}/source", f"{base}/state", f"{base}/checkpoint",
+                                      trigger=AVAILABLE_NOW)
+        jobs.run_to_end(q)
     return jobs.recent_from_log(KeyedLog(spark, f"{base}/state", jobs.RECENT_STATE).read())
 
 
+# Messages of the first run are history in the second one.
+_LIVE = ["""past AS (
+  SELECT phase, userId, productId, score, "timestamp" FROM history, (VALUES (0), (1)) AS v(phase)
+  UNION ALL SELECT 1, userId, productId, score, "timestamp" FROM gm WHERE phase = 0)""",
+         """recents AS (
+  SELECT phase, userId, productId, score FROM past
+  QUALIFY row_number() OVER (PARTITION BY phase, userId
+                             ORDER BY "timestamp" DESC, productId, score DESC) <= 21)""",
+         """cand20 AS (
+  SELECT m.event_id, m.phase, m.userId, s.simProductId AS productId
+  FROM gm m JOIN similarities s ON m.productId = s.productId
+  WHERE NOT EXISTS (SELECT 1 FROM past h WHERE h.phase = m.phase AND h.userId = m.userId
+                    AND h.productId = s.simProductId)
+  QUALIFY row_number() OVER (PARTITION BY m.event_id ORDER BY round(s.sim, 9) DESC, s.simProductId) <= 20)""",
+         """scored AS (
+  SELECT c.event_id, c.productId,
+         avg(s.sim * r.score) + log10(greatest(count_if(r.score > 3), 1))
+           - log10(greatest(count_if(r.score <= 3), 1)) AS score
+  FROM cand20 c JOIN recents r ON c.userId = r.userId AND c.phase = r.phase
+  JOIN similarities s ON s.productId = c.productId AND s.simProductId = r.productId
+  WHERE s.sim >= 0.4
+  GROUP BY 1, 2)""",
+         """ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY event_id
+                 ORDER BY round(score, 9) DESC, productId) AS INTEGER) AS rank
+  FROM scored)"""]
 _GOOD_MESSAGES = f"""gm AS (
-  SELECT event_id, {_RATING_CASTS} FROM parsed WHERE {_ALL_CAST})"""
+  SELECT event_id, {_RATING_CASTS}, CASE WHEN TRY_CAST(f[4] AS INTEGER) >= {SPLIT_EPOCH} THEN 1 ELSE 0 END AS phase
+  FROM parsed WHERE {_ALL_CAST})"""
 
 
 @register("stream_recs_streaming",
-          fx.with_views(ONLINE_VIEWS + ["message_lines"], _MSG_PARSED, _GOOD_MESSAGES,
-                        RECENTS_SQL, CAND_SQL.replace("FROM messages m", "FROM gm m"),
-                        SCORED_SQL, LATEST_SQL.replace("FROM messages", "FROM gm")) + """
+          fx.with_views(ONLINE_VIEWS + ["message_lines"], msg_parsed("message_lines"), _GOOD_MESSAGES,
+                        *_LIVE, LATEST_SQL.replace("FROM messages", "FROM gm")) + """
 SELECT l.userId, r.rank, r.productId, round(r.score, 6) AS score
 FROM latest l LEFT JOIN ranked r ON l.event_id = r.event_id
 """)
 def _stream_recs_streaming(spark, d):
     base = scratch_path(spark, "recs-stream")
-    fx.message_lines(spark, d).repartition(SOURCE_FILES).write.parquet(f"{base}/source")
     fx.similarities(spark, d).write.parquet(f"{base}/sims")
-    as_ratings(fx.history(spark, d)).write.parquet(f"{base}/history")
-    q = jobs.start_stream_recs(spark, f"{base}/source", f"{base}/StreamRecs", f"{base}/checkpoint",
-                               sims_path=f"{base}/sims", history_path=f"{base}/history",
-                               quarantine_path=f"{base}/quarantine",
-                               trigger=AVAILABLE_NOW, max_files=1)
-    jobs.run_to_end(q)
+    jobs.write_history(as_ratings(fx.history(spark, d)), f"{base}/history")
+    msgs = fx.messages(spark, d)
+    for newer in (False, True):
+        part = msgs.where((F.col("timestamp") >= SPLIT_EPOCH) == newer)
+        fx.message_lines(spark, d, part).write.mode("append").parquet(f"{base}/source")
+        q = jobs.start_stream_recs(spark, f"{base}/source", f"{base}/StreamRecs", f"{base}/checkpoint",
+                                   sims_path=f"{base}/sims", history_path=f"{base}/history",
+                                   quarantine_path=f"{base}/quarantine", trigger=AVAILABLE_NOW)
+        jobs.run_to_end(q)
     log = KeyedLog(spark, f"{base}/StreamRecs", jobs.STREAM_RECS).read()
     return _flat_rounded(jobs.recs_from_log(log), "userId")

@@ -32,7 +32,7 @@ USER_RECS = T.StructType([
     T.StructField("recs", T.ArrayType(RECOMMENDATION)),
 ])
 
-# Flat similarity table used by scoring: one row per ordered product pair.
+# Flat similarity table that the models write and scoring reads: one row per ordered product pair.
 SIMILARITY = T.StructType([
     T.StructField("productId", T.IntegerType()),
     T.StructField("simProductId", T.IntegerType()),

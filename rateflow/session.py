@@ -66,6 +66,8 @@ def shared_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="rateflow-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

@@ -25,14 +25,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Spark builders
 # --------------------------------------------------------------------------
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ratings(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """Every event as a rating, with its id and ``more`` columns of the table."""
     ev = table(spark, sf_dir, "events")
     return ev.select(
         F.col("user_id").cast("int").alias("userId"),
         F.get_json_object("props", "$.k").cast("int").alias("productId"),
         (F.lit(1) + F.floor("value").cast("bigint") % 5).cast("double").alias("score"),
         epoch_seconds("ts").alias("timestamp"),
-        F.col("event_id"),
+        F.col("event_id"), *more,
     )
 
 
@@ -48,14 +49,6 @@ def ratings_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ratings_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest rating per (user, product); an aggregate, so it combines map-side."""
-    r = ratings(spark, sf_dir)
-    latest = F.max(F.struct("timestamp", "event_id", "score")).alias("l")
-    return (r.groupBy("userId", "productId").agg(latest)
-            .select("userId", "productId", "l.score", "l.timestamp", "l.event_id"))
-
-
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratings(spark, sf_dir).where(F.col("event_id") % 10 != MESSAGE_BUCKET)
 
@@ -76,18 +69,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that arrived in fewer partitions than there are cores
-    (one-row-group files); a scan of many files passes through unchanged."""
-    try:
-        n = df.sparkSession.sparkContext.defaultParallelism
-        return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session)
-        return df
-
-
 def content_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spread(table(spark, sf_dir, "documents"))
+    d = table(spark, sf_dir, "documents")
     return d.select(F.col("doc_id").cast("int").alias("productId"),
                     F.col("text").alias("tags"))
 
@@ -119,9 +102,10 @@ def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(F.col("event_id").alias("line_id"), line.alias("value"))
 
 
-def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages as 'userId|productId|score|timestamp' with planted bad rows."""
-    m = messages(spark, sf_dir)
+def message_lines(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    """Ratings (all of them, or ``rows``) as 'userId|productId|score|timestamp' with
+    planted bad rows."""
+    m = ratings(spark, sf_dir) if rows is None else rows
     u, p, s, t = (F.col(c).cast("string") for c in ("userId", "productId", "score", "timestamp"))
     line = (F.when(F.col("event_id") % 7 == 2, F.concat_ws("|", u, p))
             .when(F.col("event_id") % 13 == 5, F.concat_ws("|", u, p, F.lit("abc"), t))
@@ -130,9 +114,8 @@ def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One log line per message event; errors carry no rating prefix."""
-    ev = table(spark, sf_dir, "events").where(F.col("event_id") % 10 == MESSAGE_BUCKET)
-    m = messages(spark, sf_dir).join(ev.select("event_id", "event_type"), "event_id")
+    """One log line per event; errors carry no rating prefix."""
+    m = ratings(spark, sf_dir, "event_type")
     u, p, s, t = (F.col(c).cast("string") for c in ("userId", "productId", "score", "timestamp"))
     msg = F.concat_ws("|", u, p, s, t)
     pad = F.when(F.col("event_id") % 3 == 0, F.lit("\t\t")).otherwise(F.lit(""))
@@ -217,6 +200,8 @@ _SQL = {
     END AS value
   FROM ratings""",
     "message_lines": """
+  SELECT event_id, value FROM rating_message_lines WHERE event_id % 10 = 9""",
+    "rating_message_lines": """
   SELECT event_id,
     CASE WHEN event_id % 7 = 2 THEN concat_ws('|', CAST(userId AS VARCHAR), CAST(productId AS VARCHAR))
          WHEN event_id % 13 = 5 THEN concat_ws('|', CAST(userId AS VARCHAR), CAST(productId AS VARCHAR),
@@ -224,7 +209,7 @@ _SQL = {
          ELSE concat_ws('|', CAST(userId AS VARCHAR), CAST(productId AS VARCHAR),
                         CAST(score AS VARCHAR), CAST("timestamp" AS VARCHAR))
     END AS value
-  FROM messages""",
+  FROM ratings""",
     "log_lines": """
   SELECT m.event_id,
     CASE WHEN e.event_type = 'error'
@@ -236,7 +221,7 @@ _SQL = {
                         CAST(m.score AS VARCHAR), CAST(m."timestamp" AS VARCHAR)) ||
               CASE WHEN m.event_id % 3 = 0 THEN chr(9) || chr(9) ELSE '' END
     END AS value
-  FROM messages m JOIN events e ON m.event_id = e.event_id""",
+  FROM ratings m JOIN events e ON m.event_id = e.event_id""",
     "hist_counts": """
   SELECT productId, count(*) AS n FROM history GROUP BY productId""",
     "hist_pairs": """
@@ -258,8 +243,9 @@ _DEPS = {
     "messages": ["ratings"],
     "product_lines": ["products"],
     "rating_lines": ["ratings"],
-    "message_lines": ["ratings", "messages"],
-    "log_lines": ["ratings", "messages"],
+    "rating_message_lines": ["ratings"],
+    "message_lines": ["ratings", "rating_message_lines"],
+    "log_lines": ["ratings"],
     "hist_counts": ["ratings", "history"],
     "hist_pairs": ["ratings", "history"],
     "similarities": ["ratings", "history", "hist_counts", "hist_pairs"],

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rateflow.schemas import PRODUCT, RATING
+from rateflow.sources import files
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -49,59 +51,6 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     w.save(path)
 
 
-class VersionedTable:
-    """A keyed table whose every update is a new version directory.
-
-    ``upsert(new, version)`` writes ``version=<n>`` = (latest version minus the
-    keys in ``new``) + ``new``.  Writing the same version again replaces it, so
-    a retried micro-batch (same batch id) is idempotent, and readers only ever
-    see complete versions.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, key: str | list[str],
-                 schema: T.StructType):
-        self.spark = spark
-        self.path = path
-        self.key = [key] if isinstance(key, str) else list(key)
-        self.schema = schema
-
-    def _all(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path)
-        except AnalysisException:
-            return None
-
-    def latest_version(self, below: int | None = None) -> int | None:
-        df = self._all()
-        if df is None:
-            return None
-        if below is not None:
-            df = df.where(F.col("version") < below)
-        row = df.agg(F.max("version").alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
-
-    def read(self, version: int | None = None) -> DataFrame:
-        v = self.latest_version() if version is None else version
-        df = self._all()
-        if v is None or df is None:
-            return self.spark.createDataFrame([], self.schema)
-        return df.where(F.col("version") == v).select(*self.schema.fieldNames())
-
-    def upsert(self, new: DataFrame, version: int) -> None:
-        prev = self.latest_version(below=version)
-        old = self.read(prev) if prev is not None else None
-        new = new.select(*self.schema.fieldNames())
-        if old is None:
-            merged = new
-        else:
-            merged = (old.join(new.select(*self.key).distinct(), self.key, "left_anti")
-                      .unionByName(new))
-        (merged.withColumn("version", F.lit(version))
-         .write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("version").parquet(self.path))
-
-
 class KeyedLog:
     """Append-only table written by a stream: micro-batch ``n`` adds its rows
     under ``batch_id=n`` (dynamic partition overwrite, so a retried batch
@@ -109,18 +58,21 @@ class KeyedLog:
     readers fold the log with an aggregate that is combined map-side (latest
     per key, top-k per key), which gives the same answer as an in-place upsert.
 
-    ``compact(fold, upto)`` bounds read cost: it writes fold(log up to batch
-    ``upto``) as a snapshot under ``_snapshot/upto=<n>`` and then a marker
-    (``_marker``).  Readers take the marked snapshot plus the log batches after
-    it.  A crash before the marker is written leaves readers on the previous
-    marker (or the full log), so no row is ever read twice.  Folded batches stay
-    on storage for an outside retention job.  (Spark skips ``_`` folders when
-    listing the log.)
+    ``compact(fold, upto)`` bounds read cost.  It writes fold(log up to batch
+    ``upto``) to a fresh ``_snapshot/<name>`` and then creates an empty file
+    ``_marker/<name>``; the name starts with ``upto``.  Nothing is overwritten:
+    a stop before the marker leaves readers where they were, and a compaction
+    repeated after its marker returns at once.  Readers take the newest marked
+    snapshot plus the log batches after it.  Only then are batches and snapshots
+    removed that the marker *before* the newest already covers, so a reader that
+    has just listed the table still finds its files.  What was removed is noted
+    in ``_retired`` first; if the markers are lost after that, reading fails
+    rather than returning the tail.  (Spark skips ``_`` folders when listing.)
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
         self.spark = spark
-        self.path = path
+        self.path = path.rstrip("/")
         self.schema = schema
         self._full = T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])
 
@@ -130,32 +82,56 @@ class KeyedLog:
          .partitionBy("batch_id").parquet(self.path))
 
     def _log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(self._full).parquet(self.path)
-        except AnalysisException:
+        if not any(n.startswith("batch_id=") for n in files.names(self.spark, self.path)):
             return self.spark.createDataFrame([], self._full)
+        return self.spark.read.schema(self._full).parquet(self.path)
+
+    def _marked(self) -> list[str]:
+        """Names of complete snapshots, oldest first."""
+        return sorted(files.names(self.spark, f"{self.path}/_marker"))
 
     def marker(self) -> int | None:
-        try:
-            row = self.spark.read.parquet(f"{self.path}/_marker").first()
-        except AnalysisException:
-            return None
-        return None if row is None else int(row["upto"])
+        """The last batch in the newest complete snapshot."""
+        marked = self._marked()
+        retired = max(map(int, files.names(self.spark, f"{self.path}/_retired")), default=-1)
+        upto = int(marked[-1].split("-")[0]) if marked else -1
+        if upto < retired:
+            raise RuntimeError(f"{self.path}: batches up to {retired} were folded and removed, "
+                               "but no marker of their snapshot is left")
+        return upto if marked else None
 
     def read(self) -> DataFrame:
         m = self.marker()
         log = self._log()
         if m is None:
             return log
-        snap = (self.spark.read.schema(self.schema).parquet(f"{self.path}/_snapshot/upto={m}")
+        snap = (self.spark.read.schema(self.schema).parquet(f"{self.path}/_snapshot/{self._marked()[-1]}")
                 .withColumn("batch_id", F.lit(m).cast("long")))
         return snap.unionByName(log.where(F.col("batch_id") > m))
 
     def compact(self, fold, upto: int) -> None:
         """``fold``: DataFrame -> DataFrame with this log's columns; must give
         the same result when applied to its own output plus later rows."""
-        current = self.read().where(F.col("batch_id") <= upto)
-        (fold(current).select(*self.schema.fieldNames())
-         .write.mode("overwrite").parquet(f"{self.path}/_snapshot/upto={upto}"))
-        (self.spark.createDataFrame([(upto,)], "upto long")
-         .write.mode("overwrite").parquet(f"{self.path}/_marker"))
+        m = self.marker()
+        if m is None or m < upto:
+            current = self.read().where(F.col("batch_id") <= upto)
+            name = f"{upto:020d}-{uuid.uuid4().hex[:12]}"
+            fold(current).select(*self.schema.fieldNames()).write.parquet(f"{self.path}/_snapshot/{name}")
+            files.create(self.spark, f"{self.path}/_marker/{name}")
+        self._retire()
+
+    def _retire(self) -> None:
+        """Remove what the marker before the newest covers."""
+        marked = self._marked()
+        if len(marked) < 2:
+            return
+        covered = int(marked[-2].split("-")[0])
+        files.create(self.spark, f"{self.path}/_retired/{covered}")
+        for n in files.names(self.spark, self.path):
+            if n.startswith("batch_id=") and int(n.split("=")[1]) <= covered:
+                files.remove(self.spark, f"{self.path}/{n}")
+        for n in files.names(self.spark, f"{self.path}/_snapshot"):
+            if n < marked[-2]:
+                files.remove(self.spark, f"{self.path}/_snapshot/{n}")
+        for n in marked[:-2]:
+            files.remove(self.spark, f"{self.path}/_marker/{n}")

@@ -2,19 +2,21 @@
 
 * ``start_log_filter``  -- log lines -> rating payloads (stateless; file sink,
   exactly-once through the sink's commit log).
-* ``start_recent_ratings`` -- rating stream -> newest 21 ratings per user.
+* ``start_recent_ratings`` -- ratings or rating messages -> newest 21 per user.
 * ``start_stream_recs`` -- rating messages -> rescored similar products,
-  last list per user kept.
-
-The two stateful jobs keep their state as an append-only keyed log in the
-shared folder (``KeyedLog``).  In ``foreachBatch`` each micro-batch is first
-reduced with set operations -- newest 21 per user through a partial window
-limit, latest list per user through a map-side combined ``max(struct)`` -- so
-a very active user never lands whole in one task, and only the reduced rows
-are appended under ``batch_id``.  Writes cost O(batch); a retried batch
-replaces its own rows, so results are exactly-once and survive lost executors
-and driver restarts from the checkpoint.  Readers fold the log with the same
-reduction (``recent_from_log``, ``recs_from_log``).
+  last list per user kept; every message also becomes history for later ones.
+
+The stateful jobs keep their state as append-only keyed logs in the shared
+folder (``KeyedLog``).  In ``foreachBatch`` each micro-batch is first reduced
+with set operations -- newest 21 per user through a partial window limit,
+latest list per user through a map-side combined ``max(struct)`` -- so a very
+active user never lands whole in one task, and only the reduced rows are
+appended under ``batch_id``.  Writes cost O(batch); a retried batch replaces
+its own rows and reads only rows of earlier batches, so results are
+exactly-once and survive lost executors and driver restarts from the
+checkpoint.  Compaction folds batches before the current one, which are
+committed.  Readers fold the log with the same reduction (``recent_from_log``,
+``recs_from_log``).
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ from rateflow.sources.tables import KeyedLog
 LINE_SCHEMA = "event_id bigint, value string"
 # Micro-batches between two compactions of a stream's keyed log.
 COMPACT_EVERY = 100
+# User buckets of the stored history.
+HISTORY_BUCKETS = 64
 
 RECENT_STATE = T.StructType([
     T.StructField("userId", T.IntegerType()),
@@ -46,7 +50,7 @@ RECENT_STATE = T.StructType([
 STREAM_RECS = T.StructType([
     T.StructField("userId", T.IntegerType()),
     T.StructField("timestamp", T.IntegerType()),
-    T.StructField("event_id", T.LongType()),
+    T.StructField("event_id", T.StringType()),
     T.StructField("recs", T.ArrayType(RECOMMENDATION)),
 ])
 
@@ -54,19 +58,30 @@ STREAM_RECS = T.StructType([
 def _source(spark: SparkSession, path: str, schema, max_files: int | None,
             fmt: str = "parquet", options: dict | None = None) -> DataFrame:
     """A file source by default.  With ``fmt='kafka'`` (package on the classpath)
-    ``options`` carry the servers and topic, ``path`` is ignored, and the record
-    value and offset become (event_id, value)."""
+    ``path`` is ignored and ``options`` carry the servers, the topic, starting
+    offsets and the rate limit (``maxOffsetsPerTrigger``); a record becomes
+    (event_id, value), its id made of topic, partition and offset, as offsets
+    alone repeat between partitions."""
     r = spark.readStream.format(fmt).options(**(options or {}))
     if fmt == "kafka":
-        df = r.load()
-        return df.select(F.col("offset").alias("event_id"),
-                         F.col("value").cast("string").alias("value"))
+        return bus_lines(r.load())
     r = r.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.load(path)
 
 
+def bus_lines(records: DataFrame) -> DataFrame:
+    """Bus records (topic, partition, offset, value) -> (event_id, value)."""
+    place = F.concat_ws("/", "topic", _ordered("partition"), _ordered("offset"))
+    return records.select(place.alias("event_id"), F.col("value").cast("string").alias("value"))
+
+
+def _ordered(number: str) -> F.Column:
+    """A non-negative number as text that sorts like it."""
+    return F.lpad(F.col(number).cast("string"), 20, "0")
+
+
 def _trigger(w, trigger: dict | None):
     return w.trigger(**(trigger or {"processingTime": "2 seconds"}))
 
@@ -96,10 +111,12 @@ def _recent_order():
 
 def start_recent_ratings(spark: SparkSession, source: str, table_path: str, checkpoint: str,
                          k: int = RECENT_RATINGS, trigger: dict | None = None,
-                         max_files: int | None = None,
-                         compact_every: int = COMPACT_EVERY) -> StreamingQuery:
-    """Rating rows (userId, productId, score, timestamp) -> log of per-batch
-    newest-k rows per user; ``recent_from_log`` gives the newest k overall."""
+                         max_files: int | None = None, compact_every: int = COMPACT_EVERY,
+                         messages: bool = False, source_format: str = "parquet",
+                         source_options: dict | None = None) -> StreamingQuery:
+    """Rating rows (userId, productId, score, timestamp), or with ``messages`` the
+    bus's lines -> log of per-batch newest-k rows per user; ``recent_from_log``
+    gives the newest k overall."""
     log = KeyedLog(spark, table_path, RECENT_STATE)
 
     def fold(rows: DataFrame) -> DataFrame:
@@ -107,11 +124,13 @@ def start_recent_ratings(spark: SparkSession, source: str, table_path: str, chec
         return top.select(*RECENT_STATE.fieldNames())
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        if messages:
+            batch, _ = text.split_good_bad(text.parse_rating_messages(batch), RATING.fieldNames())
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            log.compact(fold, batch_id - 1)
         log.append(fold(batch), batch_id)
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            log.compact(fold, batch_id)
 
-    src = _source(spark, source, RATING, max_files)
+    src = _source(spark, source, LINE_SCHEMA if messages else RATING, max_files, source_format, source_options)
     w = src.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
@@ -122,36 +141,59 @@ def recent_from_log(log: DataFrame, k: int = RECENT_RATINGS) -> DataFrame:
     return top.select("userId", "rank", "productId", "score")
 
 
+def _bucket(buckets: int) -> F.Column:
+    return F.pmod(F.hash("userId"), F.lit(buckets))
+
+
+def write_history(ratings: DataFrame, path: str, buckets: int = HISTORY_BUCKETS) -> None:
+    """Stored ratings in user buckets, so that a micro-batch reads those of its users."""
+    (ratings.select(*RATING.fieldNames(), _bucket(buckets).alias("bucket"))
+     .write.mode("overwrite").partitionBy("bucket").parquet(path))
+
+
+def _past(spark: SparkSession, history_path: str, seen: KeyedLog, users: DataFrame, batch_id: int,
+          buckets: int) -> DataFrame:
+    """Ratings of the given users, stored or from messages of earlier batches."""
+    wanted = [r[0] for r in users.select(_bucket(buckets)).distinct().collect()]  # at most ``buckets``
+    stored = spark.read.parquet(history_path).where(F.col("bucket").isin(wanted))
+    earlier = seen.read().where(F.col("batch_id") < batch_id)
+    return (stored.select(*RATING.fieldNames()).unionByName(earlier.select(*RATING.fieldNames()))
+            .join(users, "userId", "left_semi"))
+
+
 def start_stream_recs(spark: SparkSession, source: str, table_path: str, checkpoint: str,
                       sims_path: str, history_path: str, quarantine_path: str,
                       trigger: dict | None = None,
                       max_files: int | None = None, source_format: str = "parquet",
                       source_options: dict | None = None,
-                      compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+                      compact_every: int = COMPACT_EVERY, buckets: int = HISTORY_BUCKETS) -> StreamingQuery:
     """Message lines (event_id, value='u|p|score|ts') -> StreamRecs table.
 
-    Static inputs are written tables: the similarity table (broadcast only if
-    its counted size is bounded) and the rating history; the recent-ratings
-    list is derived once from the history and written next to the output.
+    The similarity table and the history (``write_history``) are read anew in
+    every micro-batch, the history only in the buckets of the batch's users.
+    Messages of earlier batches count as history too: they are kept in a keyed
+    log beside the output.
     """
-    sims = spark.read.parquet(sims_path)
-    small = sims.count() <= scoring.BROADCAST_MAX_ROWS
-    history = spark.read.parquet(history_path)
-    recents_path = table_path.rstrip("/") + "_recents"
-    scoring.recent_ratings(history).write.mode("overwrite").parquet(recents_path)
     log = KeyedLog(spark, table_path, STREAM_RECS)
+    seen = KeyedLog(spark, table_path.rstrip("/") + "_ratings", RATING)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        good, bad = text.split_good_bad(text.parse_rating_messages(batch),
-                                        RATING.fieldNames(), keys=["event_id"])
-        bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
-        s = spark.read.parquet(sims_path)
-        s = F.broadcast(s) if small else s
-        recents = spark.read.parquet(recents_path)
-        recs = scoring.message_recs(good, s, history, recents)
-        log.append(latest_recs(recs), batch_id)
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            log.compact(latest_recs, batch_id)
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            log.compact(latest_recs, batch_id - 1)
+            seen.compact(lambda rows: rows, batch_id - 1)
+        if dict(batch.dtypes)["event_id"] != "string":
+            batch = batch.withColumn("event_id", _ordered("event_id"))
+        parsed = text.parse_rating_messages(batch).persist()
+        try:
+            good, bad = text.split_good_bad(parsed, RATING.fieldNames(), keys=["event_id"])
+            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+            users = good.select("userId").distinct()
+            past = _past(spark, history_path, seen, users, batch_id, buckets)
+            recs = scoring.message_recs(good, spark.read.parquet(sims_path), past, scoring.recent_ratings(past))
+            log.append(latest_recs(recs), batch_id)
+            seen.append(good, batch_id)
+        finally:
+            parsed.unpersist()
 
     src = _source(spark, source, LINE_SCHEMA, max_files, source_format, source_options)
     w = src.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
