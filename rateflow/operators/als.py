@@ -1,5 +1,5 @@
-"""Latent-factor model: Spark ML ALS, per-user top-k, item similarity from the
-factors, a seeded or arithmetic train/test split, RMSE and a parameter grid."""
+"""Latent-factor model: Spark ML ALS, per-user top-k and item similarity from the
+factors (in blocks, without a cross join), a seeded or arithmetic train/test split, RMSE and a parameter grid."""
 
 from __future__ import annotations
 
@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rateflow.functions.exprs import MIN_STORED_SIM, USER_RECS, rank_key
-from rateflow.operators.similarity import dense_cosine_above, mirror_pairs
-from rateflow.operators.topk import rank_within, top_k_per_group
+from rateflow.operators.dense import best_per_block, cosine_above
+from rateflow.operators.similarity import mirror_pairs
+from rateflow.operators.topk import nest, rank_within, top_k_per_group
 from rateflow.session import shared_dir
 
 # Fixed values of the original job.
@@ -43,31 +44,45 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
     return model.transform(pairs).withColumn("prediction", F.col("prediction").cast("double"))
 
 
+def user_factors(model: ALSModel) -> DataFrame:
+    return model.userFactors.select(F.col("id").alias("userId"), "features")
+
+
+def top_products(users: DataFrame, items: DataFrame, k: int = USER_RECS) -> DataFrame:
+    """(userId, rank, productId, score): the k products of the largest positive dot
+    product per user, from (userId, features) and (productId, features)."""
+    best = best_per_block(users, items, k, "userId", "productId")
+    return top_k_per_group(best, ["userId"], [rank_key("score").desc(), F.col("productId")], k)
+
+
 def user_recs(model: ALSModel, k: int = USER_RECS) -> DataFrame:
     """(userId, recs): k best products per user, positive scores only; users
     left with nothing are dropped.  Already-rated products are not excluded."""
-    r = model.recommendForAllUsers(k)
-    recs = F.filter(
-        F.transform("recommendations",
-                    lambda x: F.struct(x["productId"].alias("productId"),
-                                       x["rating"].cast("double").alias("score"))),
-        lambda x: x["score"] > 0)
-    return r.select("userId", recs.alias("recs")).where(F.size("recs") > 0)
+    top = top_products(user_factors(model), item_factors(model), k)
+    return nest(top, "userId", items=(("productId", "productId"), ("score", "score")))
 
 
 def product_recs(model: ALSModel, threshold: float = MIN_STORED_SIM,
                  k: int | None = None) -> DataFrame:
     """(productId, rank, simProductId, score): item pairs with cosine of their
-    factors above the threshold, best first; uncapped unless ``k`` is given."""
-    s = mirror_pairs(dense_cosine_above(item_factors(model), threshold))
-    s = s.select(F.col("product1").alias("productId"), F.col("product2").alias("simProductId"),
-                 F.col("sim").alias("score"))
+    factors above the threshold, best first.  With ``k`` only the k best of each
+    block leave a task; without it all pairs do."""
+    items = item_factors(model)
     order = [rank_key("score").desc(), F.col("simProductId")]
     if k is not None:
-        return top_k_per_group(s, ["productId"], order, k)
+        others = items.withColumnRenamed("productId", "simProductId")
+        best = best_per_block(items, others, k, "productId", "simProductId", above=threshold, unit=True)
+        return top_k_per_group(best, ["productId"], order, k)
+    s = mirror_pairs(cosine_above(items, threshold)).select(
+        F.col("product1").alias("productId"), F.col("product2").alias("simProductId"), F.col("sim").alias("score"))
     return rank_within(s, ["productId"], order)
 
 
+def similarity_table(recs: DataFrame) -> DataFrame:
+    """Flat recommendations as the table that scoring reads (``SIMILARITY``)."""
+    return recs.select("productId", "simProductId", F.col("score").alias("sim"))
+
+
 def random_split(ratings: DataFrame, seed: int = SEED) -> list[DataFrame]:
     """[train, test], about 80 to 20.  The rows are written first: a random split
     computed twice over rows in another order would put some on both sides."""

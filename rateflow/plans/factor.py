@@ -10,6 +10,9 @@ from rateflow.operators.topk import top_k_per_group
 from rateflow.plans.registry import register
 from rateflow.sources import fixtures as fx
 
+# Neighbours per product that the registered factor similarity lists.
+PRODUCT_TOP = 20
+
 SPLIT_SQL = """split AS (
   SELECT userId, productId, score, "timestamp",
          CASE WHEN (CAST(userId AS BIGINT) * 31 + CAST(productId AS BIGINT) * 17
@@ -88,7 +91,23 @@ def _als_user_recs(spark, d):
 
 @register("als_product_recs")
 def _als_product_recs(spark, d):
-    return als.product_recs(_model(spark, d))
+    return als.product_recs(_model(spark, d), k=PRODUCT_TOP)
+
+
+@register("factor_user_recs", fx.with_views("item_vectors", """v AS (
+  SELECT productId AS id, CAST(features AS DOUBLE[]) AS f FROM item_vectors)""", """dots AS (
+  SELECT u.id AS userId, i.id AS productId, list_dot_product(u.f, i.f) AS score FROM v u, v i)""") + f"""
+SELECT userId, rank, productId, round(score, 6) AS score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY userId ORDER BY round(score, 9) DESC, productId) AS INTEGER) AS rank
+  FROM dots WHERE round(score, 9) > 0)
+WHERE rank <= {als.USER_RECS}
+""")
+def _factor_user_recs(spark, d):
+    """The factor model's prediction and per-user list over given vectors: the
+    embeddings stand for the factors of users and of products."""
+    v = fx.item_vectors(spark, d)
+    t = als.top_products(v.withColumnRenamed("productId", "userId"), v)
+    return t.select("userId", "rank", "productId", round6("score").alias("score"))
 
 
 def _grid(spark, d):

@@ -63,14 +63,22 @@ def test_text_after_prefix_absent_is_null(spark):
 
 
 def test_sql_surface_equals_dataframe(spark):
-    from rateflow.functions.sql import statistics_sql
+    from rateflow.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    rows = spark.createDataFrame([(1259625600,), (1259625599,), (5,), (None,)], "ts int")
+    got = rows.selectExpr("ts", "changeDate(ts) AS m").collect()
+    assert got == rows.select("ts", year_month("ts").alias("m")).collect()
+
+
+def test_statistics_are_in_order(spark):
     from rateflow.operators import stats
-    r = spark.createDataFrame([(1, 10, 4.0, 1259625600), (2, 10, 2.0, 1259625599), (1, 11, 5.0, 5)],
-                              "userId int, productId int, score double, timestamp int")
-    r.createOrReplaceTempView("t_ratings")
-    sq = statistics_sql(spark, "t_ratings")
-    df = {"rate_more_products": stats.rate_more_products(r),
-          "rate_more_recently_products": stats.rate_more_recently_products(r),
-          "average_products": stats.average_products(r)}
-    for k, v in df.items():
-        assert sorted(map(tuple, sq[k].collect())) == sorted(map(tuple, v.collect()))
+    r = spark.createDataFrame([(1, 12, 4.0, 1259625600), (2, 10, 2.0, 1259625599), (1, 11, 4.0, 5), (3, 10, 2.0, 1259625600),
+                               (4, 13, 4.0, 5)], "userId int, productId int, score double, timestamp int")
+    many = stats.rate_more_products(r).collect()
+    assert [(x.productId, x["count"]) for x in many] == [(11, 1), (12, 1), (13, 1), (10, 2)]
+    most = stats.rate_more_products(r, descending=True).collect()
+    assert [x.productId for x in most] == [10, 11, 12, 13]
+    recent = stats.rate_more_recently_products(r).collect()
+    assert [(x.yearmonth, x.productId) for x in recent] == [(200912, 10), (200912, 12), (200911, 10), (197001, 11), (197001, 13)]
+    mean = stats.average_products(r).collect()
+    assert [x.productId for x in mean] == [11, 12, 13, 10]
