@@ -132,6 +132,17 @@ def _itemcf_top10(spark, d):
     return t.select("productId", "rank", "simProductId", round6("score").alias("score"))
 
 
+@register("itemcf_similarity_top10_wide", fx.with_views(
+    "wide_ratings", *(x.replace("FROM ratings", "FROM wide_ratings").replace("JOIN ratings", "JOIN wide_ratings")
+                      for x in (_COUNTS, _PAIRS, _SIMS, _TOP10))) + """
+SELECT productId, rank, simProductId, round(sim, 6) AS score FROM top
+""")
+def _itemcf_top10_wide(spark, d):
+    """Over all order products, with a user whose group is split into blocks."""
+    t = itemcf.top_neighbours(fx.wide_ratings(spark, d))
+    return t.select("productId", "rank", "simProductId", round6("score").alias("score"))
+
+
 @register("itemcf_product_recs",
           fx.with_views("ratings", _COUNTS, _PAIRS, _SIMS, _TOP10) + """
 SELECT c.productId,

@@ -49,6 +49,13 @@ def ratings_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def wide_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order ratings, and one user (id 0) who rated every product."""
+    hot = products(spark, sf_dir).select(F.lit(0).alias("userId"), "productId", F.lit(3.0).alias("score"),
+                                         F.lit(0).alias("timestamp"))
+    return ratings_orders(spark, sf_dir).unionByName(hot)
+
+
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratings(spark, sf_dir).where(F.col("event_id") % 10 != MESSAGE_BUCKET)
 
@@ -163,6 +170,8 @@ _SQL = {
          CAST(1 + (CAST(trunc(l.l_quantity) AS BIGINT) - 1) % 5 AS DOUBLE) AS score,
          CAST(floor(epoch(o.o_orderdate)) AS INTEGER) AS "timestamp"
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
+    "wide_ratings": """
+  SELECT userId, productId FROM ratings_orders UNION ALL SELECT 0, productId FROM products""",
     "history": """
   SELECT * FROM ratings WHERE event_id % 10 <> 9""",
     "messages": """
@@ -239,6 +248,7 @@ _SQL = {
 }
 
 _DEPS = {
+    "wide_ratings": ["ratings_orders", "products"],
     "history": ["ratings"],
     "messages": ["ratings"],
     "product_lines": ["products"],
