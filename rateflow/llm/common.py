@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from rateflow.session import shared_dir
+
 # Words are runs of anything but ASCII white space (the blank and \t \n \v \f \r).
 WORD = r"[^\x20\x09-\x0D]+"
 find_words = re.compile(WORD).findall
@@ -15,6 +18,31 @@ find_words = re.compile(WORD).findall
 ARROW_ROWS = 1000
 
 
+_P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+BLANK = np.uint64(32)
+
+
+def code_points(text: str | None) -> np.ndarray:
+    """A text's code points between two blanks, with every run of white space as one blank."""
+    a = np.frombuffer(f" {text or ''} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    white = (a == 32) | ((a >= 9) & (a <= 13))
+    a = np.where(white, BLANK, a.astype(np.uint64))
+    return a[~(white & np.concatenate(([False], white[:-1])))]
+
+
+def word_codes(points: np.ndarray) -> np.ndarray:
+    """A 64-bit hash per word of ``code_points``: a polynomial in its code points, mixed."""
+    ends = np.flatnonzero(points == BLANK)
+    if len(ends) < 2:
+        return np.zeros(0, np.uint64)
+    lengths = np.diff(ends)
+    place = np.arange(1, len(points)) - np.repeat(ends[:-1] + 1, lengths)
+    powers = np.multiply.accumulate(np.full(int(lengths.max()) + 1, _P))
+    h = np.add.reduceat(points[1:] * powers[place], ends[:-1])
+    h = (h ^ (h >> np.uint64(29))) * _Q
+    return h ^ (h >> np.uint64(32))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """The named columns of a given table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
@@ -47,6 +75,16 @@ def append_columns(df: DataFrame, fields: list[T.StructField], start) -> DataFra
     return df.mapInArrow(run, schema)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read from there.
+
+    Cuts the lineage, so a lost executor repeats no earlier work, and lets several
+    readers share one computation.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; null counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -22,7 +22,7 @@ import re
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from rateflow.llm.common import small_batches
+from rateflow.llm.common import settled, small_batches
 
 MIN_PAGES = 10        # pages of different content that a template is on, at least
 MIN_SHARE = 0.3       # and share of the host's
@@ -254,7 +254,7 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     counts = each.groupBy("host_key", "key").agg(F.count(F.lit(1)).alias("n"))
     frequent = counts.where(F.col("n") >= min_pages)
     # As the host's own count is one of the frequent ones, if any is, this is a small table.
-    frequent = frequent.checkpoint()
+    frequent = settled(frequent)
     total = frequent.where("key IS NULL").select("host_key", F.col("n").alias("pages"))
     return (frequent.where("key IS NOT NULL").join(total, "host_key")
             .where(F.col("n") >= min_share * F.col("pages")).select("host_key", "key"))
@@ -272,8 +272,7 @@ def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url",
                         host_of(F.col(url)).alias("host"))
     # One row per host, written to the shared checkpoint folder, so that its size is
     # known before a way to ship it is chosen.
-    lists = (templates(rows, min_pages, min_share).groupBy("host_key")
-             .agg(F.collect_list("key").alias("keys")).checkpoint())
+    lists = settled(templates(rows, min_pages, min_share).groupBy("host_key").agg(F.collect_list("key").alias("keys")))
     size = lists.agg(F.sum(F.size("keys") * 8 + 16)).first()[0] or 0
     rows = rows.withColumn("host_key", F.xxhash64("host"))
     if size <= BROADCAST_BYTES:

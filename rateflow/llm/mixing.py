@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rateflow.llm.common import bucket_of, word_count
+from rateflow.llm.common import bucket_of, settled, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5      # words of the mix over words of all sources
@@ -168,7 +168,7 @@ def draw(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
     while True:
         # Each level is written to the shared checkpoint folder: a lost executor
         # repeats a level at most, and both its outputs come from one computation.
-        rows = rows.groupBy("source", "block").applyInPandas(_level(level, seed), _DRAW).checkpoint()
+        rows = settled(rows.groupBy("source", "block").applyInPandas(_level(level, seed), _DRAW))
         settled.append(rows.where("p = 0"))
         rest = rows.where("p > 0")
         blocks = rest.agg(F.max("block")).first()[0]

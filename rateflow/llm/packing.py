@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from rateflow.llm.common import bucket_of, small_batches
+from rateflow.llm.common import bucket_of, settled, small_batches
 
 WINDOW = 2048
 TIERS = (2048, 1024, 512, 256)
@@ -221,7 +221,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
     """Per piece: its ids' place in the document and in a sequence of the packed set."""
     # The pieces are written to the shared checkpoint folder, as their number sets the
     # number of groups and no text should be tokenized twice.
-    cut = pieces(docs, doc_id, text, WINDOW, vocabulary).checkpoint()
+    cut = settled(pieces(docs, doc_id, text, WINDOW, vocabulary))
     n = max(1, -(-cut.count() // group))
     # Rows that repeat all columns would share a bucket, so a row number takes part;
     # it is stable, as it is read from the written pieces.

@@ -24,7 +24,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rateflow.llm.common import bucket_of, small_batches
+from rateflow.llm.common import bucket_of, settled, small_batches
 
 SCALE = 256
 LIMIT = 1 << 26
@@ -154,15 +154,15 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id", vect
     n_blocks = max(1, -(-sum(per_dim.values()) // CANDIDATE_BLOCK))
     n_query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     row_nr = F.monotonically_increasing_id()
-    candidates = _packed(rows.withColumn("block", bucket_of(n_blocks, F.lit(1), "vec_id", row_nr)), pivots).checkpoint()
-    asked = _packed(queries.withColumn("block", bucket_of(n_query_blocks, F.lit(2), "vec_id")), pivots).select(
+    candidates = settled(_packed(rows.withColumn("block", bucket_of(n_blocks, F.lit(1), "vec_id", row_nr)), pivots))
+    asked = settled(_packed(queries.withColumn("block", bucket_of(n_query_blocks, F.lit(2), "vec_id")), pivots).select(
         F.col("block").alias("q_block"), "dim", F.col("ids").alias("q_ids"), F.col("flat").alias("q_flat"),
-        F.col("table").alias("q_table")).checkpoint()
+        F.col("table").alias("q_table")))
     no_ids = F.lit(None).cast("array<long>")
     # A first pass over one block each, dealt round the blocks, finds starting scores.
     first = (asked.withColumn("block", F.pmod("q_block", F.lit(n_blocks)))
              .join(candidates, ["block", "dim"]).withColumn("start_ids", no_ids).withColumn("start_scores", no_ids))
-    started = _search(first, k).checkpoint()
+    started = settled(_search(first, k))
     starts = (started.groupBy("query_id").agg(F.min("score").alias("score"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k)
               .withColumn("q_block", bucket_of(n_query_blocks, F.lit(2), "query_id")).groupBy("q_block")
               .agg(F.collect_list(F.struct("query_id", "score")).alias("s"))

@@ -19,7 +19,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from rateflow.llm.common import append_columns
+from rateflow.llm.common import BLANK, append_columns, code_points, word_codes
 
 GRAMS = 1 << 17            # vectors of words and n-grams
 PAIRS = 1 << 12            # vectors of pairs of neighbouring words, before the others
@@ -32,7 +32,6 @@ SEED = 7
 MAX_TRAIN_DOCS = 2500
 
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_BLANK = np.uint64(32)
 
 
 def _gram(h: np.ndarray) -> np.ndarray:
@@ -47,21 +46,13 @@ def buckets(text: str | None) -> np.ndarray:
     ends of words: n-grams of 3 and 4 have blanks at their ends only.  Equal
     neighbours always make pair 0, so repeated words are one feature.
     """
-    a = np.frombuffer(f" {text or ''} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-    white = (a == 32) | ((a >= 9) & (a <= 13))
-    a = np.where(white, _BLANK, a.astype(np.uint64))
-    a = a[~(white & np.concatenate(([False], white[:-1])))]
-    blank = a == _BLANK
-    ends = np.flatnonzero(blank)
-    if len(ends) < 2:
+    a = code_points(text)
+    blank = a == BLANK
+    words = word_codes(a)
+    if not len(words):
         return np.zeros(0, np.int64)
-    starts = ends[:-1] + 1
     three = (a[:-2] * _P + a[1:-1]) * _P + a[2:]
     four = three[:-1] * _P + a[3:]
-    lengths = np.diff(ends)
-    place = np.arange(1, len(a)) - np.repeat(starts, lengths)
-    powers = np.multiply.accumulate(np.full(int(lengths.max()) + 1, _P))
-    words = np.add.reduceat(a[1:] * powers[place], starts - 1)
     pairs = (words[1:] ^ words[:-1]) * _Q >> np.uint64(52)
     return np.concatenate([
         pairs.astype(np.int64), _gram(words * _Q + np.uint64(1)), _gram(three[~blank[1:-1]]),

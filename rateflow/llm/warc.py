@@ -23,7 +23,7 @@ import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rateflow.llm.common import small_batches
+from rateflow.llm.common import settled, small_batches
 from rateflow.session import scratch_path
 
 VERSION = "WARC/1.1"
@@ -160,14 +160,14 @@ def resolve(headers: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataFrame:
     """(record_id, refers_to_id, refers_to) of the headers that repeat an earlier payload.
 
     The original of a digest is the record of the smallest page_id.  It is found by an
-    aggregate that is summed up before the shuffle; Spark splits the partition of a
-    digest that very many headers share when these are joined to it.
+    aggregate that is summed up before the shuffle and settled before the join, in
+    which Spark can then split the partition of a digest that very many headers share.
     """
     large = headers.where(F.col("payload_bytes") >= min_payload).select("record_id", "page_id", "payload_digest")
     order = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "record_id")
-    first = (large.groupBy("payload_digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("payload_digest", F.col("first.record_id").alias("refers_to_id"),
-                                    F.col("first.page_id").alias("refers_to")))
+    first = settled(large.groupBy("payload_digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
+                    .where("n > 1").select("payload_digest", F.col("first.record_id").alias("refers_to_id"),
+                                           F.col("first.page_id").alias("refers_to")))
     return (large.join(first, "payload_digest").where(F.col("record_id") != F.col("refers_to_id"))
             .select("record_id", "refers_to_id", "refers_to"))
 
