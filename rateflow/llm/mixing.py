@@ -164,19 +164,19 @@ def draw(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
                     bucket_of(F.ceil(F.col("t.documents") / BLOCK), F.lit(5), F.col("d.row")).alias("block"),
                     (F.col("t.documents") <= BLOCK).alias("last"), F.greatest(ratio - whole, F.lit(0.0)).alias("p"), whole.cast("long").alias("copies"))
             .withColumn("p", F.when(F.col("p") < 1e-9, 0.0).otherwise(F.col("p"))))
-    settled, level = [], 0
+    done, level = [], 0
     while True:
         # Each level is written to the shared checkpoint folder: a lost executor
         # repeats a level at most, and both its outputs come from one computation.
         rows = settled(rows.groupBy("source", "block").applyInPandas(_level(level, seed), _DRAW))
-        settled.append(rows.where("p = 0"))
+        done.append(rows.where("p = 0"))
         rest = rows.where("p > 0")
         blocks = rest.agg(F.max("block")).first()[0]
         if blocks is None:
             break
         rows, level = rest.withColumn("block", F.floor(F.col("block") / MERGE)).withColumn("last", F.lit(blocks < MERGE)), level + 1
-    out = settled[0]
-    for more in settled[1:]:
+    out = done[0]
+    for more in done[1:]:
         out = out.unionByName(more)
     return out.select("row", "doc_id", "source", "size", "source_size", "target", "copies",
                       (F.col("copies") * F.col("size")).alias("taken"))
