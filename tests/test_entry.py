@@ -21,6 +21,13 @@ def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
+def test_the_other_queries_do_without_the_training_data_subpackage(monkeypatch):
+    monkeypatch.setattr(E, "find_spec", lambda name: None)
+    names = set(E.queries())
+    assert "itemcf_similarity_top10" in names and not any(n.startswith("op1") or n == "pipeline" for n in names)
+    assert set(E.oracle_sql()) <= names
+
+
 @pytest.fixture(scope="module")
 def duck():
     import duckdb
