@@ -26,7 +26,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from rateflow.llm.common import find_words, small_batches
+from rateflow.llm.common import code_points, find_words, settled, small_batches, word_codes
 from rateflow.llm.components import components
 
 KMER = 5
@@ -34,8 +34,7 @@ SKETCHES = 32
 PICK = 2
 MOST_EDITS = 5      # similarity 0.8: five times the distance is at most the longer length
 NO_ID = (1 << 63) - 1
-MAX_WORDS = 400_000  # distinct words a task remembers before it starts afresh
-CELLS = 1 << 17      # cells of one row of a batch of alignments
+CELLS = 1 << 15      # cells of one row of a batch of alignments
 
 _rng = np.random.default_rng(20)
 _XOR = _rng.integers(0, 1 << 63, SKETCHES, dtype=np.uint64)[:, None]
@@ -93,20 +92,8 @@ def _sketches(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         import pyarrow as pa
-        import xxhash
-        code_of: dict[str, int] = {}
         for batch in batches:
-            if len(code_of) > MAX_WORDS:
-                code_of.clear()
-            rows = []
-            for t in batch.column(1).to_pylist():
-                codes = []
-                for w in find_words(t):
-                    c = code_of.get(w)
-                    if c is None:
-                        c = code_of[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
-                    codes.append(c)
-                rows.append(sketch(np.array(codes, np.uint64)))
+            rows = [sketch(word_codes(code_points(t))) for t in batch.column(1).to_pylist()]
             flat = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
             keys = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * SKETCHES), flat)
             yield pa.RecordBatch.from_arrays([batch.column(0), keys], names=["node", "keys"])
@@ -127,16 +114,19 @@ def _distances(pairs: list[tuple[np.ndarray, np.ndarray]], radius: list[int]) ->
     for i, (x, y) in enumerate(pairs):
         a[i, :len(x)] = x
         b[i, r:r + len(y)] = y
-    big = np.int32(1 << 28)
-    off = np.arange(width, dtype=np.int32)
-    d = np.where(off >= r, off - r, big)[None, :].repeat(count, 0).astype(np.int32)
+    # Short numbers where they suffice: half the memory to go through.
+    kind = np.int16 if 2 * (rows + width) < 1 << 14 else np.int32
+    big = kind(1 << 14 if kind is np.int16 else 1 << 28)
+    off = np.arange(width, dtype=kind)
+    d = np.where(off >= r, off - kind(r), big)[None, :].repeat(count, 0)
     ends = np.array([len(x) for x, _ in pairs])
     column = np.array([len(y) - len(x) + r for x, y in pairs])
-    result = np.full(count, big, np.int32)
+    result = np.full(count, big, kind)
     for i in range(rows + 1):
         if i:
             step = d + (a[:, i - 1, None] != b[:, i - 1:i - 1 + width])
-            np.minimum(step[:, :-1], d[:, 1:] + 1, out=step[:, :-1])
+            d += 1
+            np.minimum(step[:, :-1], d[:, 1:], out=step[:, :-1])
             if i <= r:
                 step[:, :r - i] = big      # left of the text's start
                 step[:, r - i] = i         # everything deleted so far
@@ -193,7 +183,7 @@ def alike(texts: list[tuple[str | None, str | None]]) -> list[bool]:
         else:
             todo.append(k)
     # A narrow band first: its distance is an upper bound, mostly good enough.
-    for share in (5, 1):
+    for share in (8, 1):
         radius = [max(1, abs(len(x) - len(y)), min(m, m // share + 2))
                   for (x, y), m in zip(pairs, limits)]
         rest = []
@@ -226,7 +216,8 @@ def links(docs: DataFrame) -> DataFrame:
     keys = F.col("keys")
     pair = F.transform(keys, lambda k, i: F.struct(
         k.alias("key"), F.xxhash64(k, F.element_at(keys, (i + 1) % SKETCHES + 1)).alias("fine")))
-    rows = _sketches(docs).select("node", F.explode(pair).alias("s")).select("node", "s.key", "s.fine")
+    # Written once, as each bucket pass reads the sketches twice.
+    rows = settled(_sketches(docs)).select("node", F.explode(pair).alias("s")).select("node", "s.key", "s.fine")
     first = docs.groupBy("node").agg(F.min("id").alias("id"))
     members = _star_pairs(rows)
     alike_1, unlike = _compare(members.select("a", "b").distinct(), docs, first)
@@ -240,10 +231,12 @@ def links(docs: DataFrame) -> DataFrame:
 def _star_pairs(rows: DataFrame) -> DataFrame:
     """Every member of a bucket with the bucket's first node, for rows (node, key, ...).
 
-    Written to the shared checkpoint folder, as both sides of the next joins read it.
+    The buckets' first nodes are settled before the join: Spark can then split the
+    partition of a bucket that holds very many documents.
     """
-    bucket = rows.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("z")).where("b < z").select("key", "b")
-    return (rows.join(bucket, "key").where("node <> b").drop("key").withColumnRenamed("node", "a").checkpoint())
+    bucket = settled(rows.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("z"))
+                     .where("b < z").select("key", "b"))
+    return settled(rows.join(bucket, "key").where("node <> b").drop("key").withColumnRenamed("node", "a"))
 
 
 def _compare(pairs: DataFrame, docs: DataFrame, first: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -254,7 +247,7 @@ def _compare(pairs: DataFrame, docs: DataFrame, first: DataFrame) -> tuple[DataF
     texts = docs.join(needed, ["node", "id"]).select("node", "text")
     with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     with_b = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    checked = _verified(with_b).checkpoint()
+    checked = settled(_verified(with_b))
     return checked.where("alike").select("a", "b"), checked.where("NOT alike").select("a", "b")
 
 
@@ -265,24 +258,26 @@ def _nodes(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, its text's ``node``, the class's id, size and whether it represents it."""
+    """Per row: doc_id, its text's ``node``, the class's ``root`` node, id and size, and
+    whether the row has that id."""
     rows = _nodes(docs, doc_id, text)
     roots = components(links(rows))
-    # As above, a hot text or class must not be one task's rows: what is joined to
-    # each row is first aggregated, and Spark splits the large partitions of a join.
+    # A hot class must not be one task's rows: what is joined to each row is settled
+    # first, and Spark splits the large partitions of such a join.
     known = rows.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    per_class = known.groupBy("root").agg(F.min(F.struct("id", "node")).alias("first"), F.count(F.lit(1)).alias("class_size"))
+    per_class = settled(known.groupBy("root").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("class_size")))
     none = F.lit(None).cast("long")
     return (known.join(per_class, "root")
-            .select(F.when(F.col("id") != NO_ID, F.col("id")).otherwise(none).alias("doc_id"), "node",
-                    F.when(F.col("first.id") != NO_ID, F.col("first.id")).otherwise(none).alias("class_id"),
-                    "class_size", ((F.col("id") == F.col("first.id")) & (F.col("node") == F.col("first.node"))).alias("is_first")))
+            .select(F.when(F.col("id") != NO_ID, F.col("id")).otherwise(none).alias("doc_id"), "node", "root",
+                    F.when(F.col("first") != NO_ID, F.col("first")).otherwise(none).alias("class_id"),
+                    "class_size", (F.col("id") == F.col("first")).alias("is_first")))
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row per class: the one of the smallest doc_id."""
-    keep = classes(docs, doc_id, text).where("is_first").select(
-        F.col("node").alias("__node"), F.coalesce("doc_id", F.lit(NO_ID)).alias("__id")).distinct()
+    # One text of a class, should several have its smallest doc_id.
+    keep = (classes(docs, doc_id, text).where("is_first").groupBy("root")
+            .agg(F.min("node").alias("__node"), F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("__id")).drop("root"))
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"),
                         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("__node"),
                         F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("__id"))
