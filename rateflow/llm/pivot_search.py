@@ -84,32 +84,40 @@ def eliminate(queries, candidates, k: int, start: list[int | None]) -> list[list
     q_ids, q, q_table = queries
     ids, c, table = candidates
     q_norm, norm = (q * q).sum(1), (c * c).sum(1)
-    # Sums stay below 2^53, where doubles are exact and much faster, unless components are very large.
-    exact = float(np.abs(c).max(initial=0)) * float(np.abs(q).max(initial=0)) * c.shape[1] < 2 ** 52
-    cc, qq = (c.astype(np.float64), q.astype(np.float64)) if exact else (c, q)
+    # Scores are whole numbers; the shortest type that holds them all exactly is fastest.
+    largest = float(np.abs(c).max(initial=0)) * float(np.abs(q).max(initial=0)) * c.shape[1]
+    kind = np.float32 if largest < 2 ** 24 else np.float64 if largest < 2 ** 52 else np.int64
+    cc, qq = c.astype(kind), q.astype(kind)
+    columns, rows = np.ascontiguousarray(table.T, np.float32), q_table.astype(np.float32)
+    # Rounding of distances must never lower an upper bound.
+    slack = float(max(table.max(initial=0), q_table.max(initial=0))) * 2.0 ** -20
+    apart, bound = np.empty(len(ids), np.float32), np.empty(len(ids), np.float32)
     results = []
     for i in range(len(q_ids)):
-        bound = np.abs(table - q_table[i]).max(axis=1)
-        # Rounding of distances must never lower an upper bound.
-        upper = (q_norm[i] + norm - bound * bound) / 2
-        upper = upper + 1e-6 * (q_norm[i] + norm) + 1
-        upper[ids == q_ids[i]] = -np.inf
-        order = np.argsort(-upper, kind="stable")
-        best: list[tuple[int, int]] = []
-        least = start[i]
-        at, step = 0, 64
-        while at < len(order):
+        bound[:] = 0
+        for column, distance in zip(columns, rows[i]):
+            np.subtract(column, distance, out=apart)
+            np.abs(apart, out=apart)
+            np.maximum(bound, apart, out=bound)
+        least_apart = np.maximum(bound.astype(np.float64) - slack, 0)
+        upper = (q_norm[i] + norm - least_apart * least_apart) / 2 + 1e-6 * (q_norm[i] + norm) + 1
+        alive = np.flatnonzero((ids != q_ids[i]) if start[i] is None else (ids != q_ids[i]) & (upper >= start[i]))
+        order = alive[np.argsort(-upper[alive])]
+        scores, found = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        least, at, step = start[i], 0, 256
+        while at < len(order) and (least is None or upper[order[at]] >= least):
             chunk = order[at:at + step]
-            if upper[chunk[0]] == -np.inf or (least is not None and upper[chunk[0]] < least):
-                break
-            scores = cc[chunk] @ qq[i]
-            found = [(-int(s), int(ids[j])) for s, j in zip(scores.tolist(), chunk.tolist())
-                     if upper[j] > -np.inf and (least is None or s >= least)]
-            best = sorted([*best, *found])[:k]
-            if len(best) == k and (least is None or -best[-1][0] > least):
-                least = -best[-1][0]
-            at, step = at + step, min(2 * step, 1024)
-        results.append([(v, -s) for s, v in best])
+            new = (cc[chunk] @ qq[i]).astype(np.int64)
+            if least is not None:
+                chunk, new = chunk[new >= least], new[new >= least]
+            scores, found = np.concatenate([scores, new]), np.concatenate([found, ids[chunk]])
+            if len(scores) > k:
+                best = np.lexsort((found, -scores))[:k]
+                scores, found = scores[best], found[best]
+            if len(scores) == k:
+                least = int(scores.min()) if least is None else max(least, int(scores.min()))
+            at, step = at + step, 2 * step
+        results.append(list(zip(found.tolist(), scores.tolist())))
     return results
 
 

@@ -63,7 +63,7 @@ def test_bounds_stop_early():
     pivots = s.choose_pivots(c[:500].tolist())
     table = np.sqrt(np.stack([((c - p) ** 2).sum(1) for p in pivots], 1))
     q = (np.array([5]), c[5:6], table[5:6])
-    got = s.eliminate(q, (np.arange(4000), c, table), 5, [None])[0]
+    got = sorted(s.eliminate(q, (np.arange(4000), c, table), 5, [None])[0], key=lambda x: (-x[1], x[0]))
     scores = c @ c[5]
     scores[5] = -10**9
     want = sorted((-int(x), j) for j, x in enumerate(scores))[:5]
