@@ -5,9 +5,12 @@ of their occurrence.  A sketch takes the smallest ``PICK`` of them under one has
 function and keeps them in text order, so that two documents share a sketch the
 likelier the smaller their edit distance is; ``SKETCHES`` hash functions give as
 many.  Documents that share a sketch form a bucket.  Each is compared with the
-bucket's first document; those that are not alike meet again in finer buckets, of
-two sketches at once.  So a bucket of any size gives at most one pair per document
-and round, and a passage shared by many documents does not pair them all.
+bucket's head, the document that shares most sketches with others; a bucket whose
+other documents are of one class is then done.  What is
+left meets pair by pair: all pairs of a bucket and of different classes are compared,
+but for those that their lengths or word histograms show to be unlike.  So no pair
+with a common sketch is left out, and a large group of copies costs one pair per
+member, while a passage shared by many unlike documents costs histograms only.
 
 A pair is linked if the edit similarity of its words, 1 - distance / longer length,
 is at least 0.8, found exactly by alignment within the band that this allows.
@@ -26,7 +29,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from rateflow.llm.common import code_points, find_words, settled, small_batches, word_codes
+from rateflow.llm.common import bucket_of, code_points, find_words, settled, small_batches, word_codes
 from rateflow.llm.components import components
 
 KMER = 5
@@ -35,6 +38,8 @@ PICK = 2
 MOST_EDITS = 5      # similarity 0.8: five times the distance is at most the longer length
 NO_ID = (1 << 63) - 1
 CELLS = 1 << 15      # cells of one row of a batch of alignments
+BLOCK = 512          # members of a bucket that meet as one block
+CELLS_OF_WORDS = 128
 
 _rng = np.random.default_rng(20)
 _XOR = _rng.integers(0, 1 << 63, SKETCHES, dtype=np.uint64)[:, None]
@@ -85,20 +90,29 @@ def sketch(codes: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def histogram(codes: np.ndarray) -> bytes:
+    """Numbers of words by their hash, as 16-bit numbers."""
+    counts = np.bincount((codes % np.uint64(CELLS_OF_WORDS)).astype(np.int64), minlength=CELLS_OF_WORDS)
+    return np.minimum(counts, 65535).astype(np.uint16).tobytes()
+
+
 def _sketches(docs: DataFrame) -> DataFrame:
-    """(node, keys): the sketches of every document, in one scan."""
+    """(node, keys, length, histogram) of every document, in one scan."""
     small_batches(docs.sparkSession)
-    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
 
     def run(batches):
         import pyarrow as pa
         for batch in batches:
-            rows = [sketch(word_codes(code_points(t))) for t in batch.column(1).to_pylist()]
+            codes = [word_codes(code_points(t)) for t in batch.column(1).to_pylist()]
+            rows = [sketch(c) for c in codes]
             flat = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
-            keys = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * SKETCHES), flat)
-            yield pa.RecordBatch.from_arrays([batch.column(0), keys], names=["node", "keys"])
+            keys = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)), flat)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), keys, pa.array([len(c) for c in codes], pa.int64()), pa.array([histogram(c) for c in codes], pa.binary())],
+                names=["node", "keys", "length", "histogram"])
 
-    return docs.select("node", "text").mapInArrow(run, schema)
+    # Copies of a text are one node.
+    return docs.select("node", "text").mapInArrow(run, "node long, keys array<long>, length long, histogram binary").dropDuplicates(["node"])
 
 
 def _distances(pairs: list[tuple[np.ndarray, np.ndarray]], radius: list[int]) -> list[int]:
@@ -213,30 +227,69 @@ def _verified(pairs: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame) -> DataFrame:
     """(a, b): linked nodes of rows (node, id, text)."""
-    keys = F.col("keys")
-    pair = F.transform(keys, lambda k, i: F.struct(
-        k.alias("key"), F.xxhash64(k, F.element_at(keys, (i + 1) % SKETCHES + 1)).alias("fine")))
-    # Written once, as each bucket pass reads the sketches twice.
-    rows = settled(_sketches(docs)).select("node", F.explode(pair).alias("s")).select("node", "s.key", "s.fine")
+    sketches = settled(_sketches(docs))
     first = docs.groupBy("node").agg(F.min("id").alias("id"))
-    members = _star_pairs(rows)
-    alike_1, unlike = _compare(members.select("a", "b").distinct(), docs, first)
-    # Bucket members unlike its first document meet again in buckets of two sketches.
-    rest = members.join(unlike, ["a", "b"], "left_semi").select(F.col("a").alias("node"), F.col("fine").alias("key"))
-    again = _star_pairs(rest.distinct()).select("a", "b").distinct().join(unlike, ["a", "b"], "left_anti")
-    alike_2, _ = _compare(again, docs, first)
+    rows = sketches.select("node", F.explode(F.array_distinct("keys")).alias("key")).distinct()
+    # Buckets of one node are dropped before anything is compared.
+    size = settled(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    rows = settled(rows.join(size, "key"))
+    weight = rows.groupBy("node").agg(F.sum("n").alias("weight"))
+    rows = settled(rows.select("node", "key").join(weight, "node"))
+    head = settled(rows.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("h")).select("key", F.col("h.node").alias("b")))
+    members = settled(rows.join(head, "key").where("node <> b").select("node", "key", "b"))
+    pairs = members.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
+    alike_1, unlike = _compare(pairs, docs, first)
+    roots = components(alike_1)
+    # A head has met its whole bucket; a bucket of one class has nothing left to link.
+    rest = settled(members.select("node", "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    open_keys = settled(rest.groupBy("key").agg(F.min("root").alias("y"), F.max("root").alias("z"), F.count(F.lit(1)).alias("n"))
+                        .where("y < z").select("key", "n"))
+    again = _open_pairs(settled(rest.join(open_keys, "key")), sketches)
+    alike_2, _ = _compare(again.join(alike_1.union(unlike), ["a", "b"], "left_anti"), docs, first)
     return alike_1.union(alike_2)
 
 
-def _star_pairs(rows: DataFrame) -> DataFrame:
-    """Every member of a bucket with the bucket's first node, for rows (node, key, ...).
+def _open_pairs(rows: DataFrame, sketches: DataFrame) -> DataFrame:
+    """All pairs of one bucket and different classes that may be alike, for rows (node, key, root, n).
 
-    The buckets' first nodes are settled before the join: Spark can then split the
-    partition of a bucket that holds very many documents.
+    Buckets are cut into blocks that meet each other; two documents of very different
+    length, or with too few words in common by their histograms, are surely unlike.
     """
-    bucket = settled(rows.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("z"))
-                     .where("b < z").select("key", "b"))
-    return settled(rows.join(bucket, "key").where("node <> b").drop("key").withColumnRenamed("node", "a"))
+    dealt = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn(
+        "block", bucket_of(F.col("blocks"), F.lit(3), "node").cast("int"))
+    member = F.struct("node", "root", "length", "histogram")
+    blocks = settled(dealt.join(sketches.select("node", "length", "histogram"), "node")
+                     .groupBy("key", "blocks", "block").agg(F.collect_list(member).alias("m")))
+    left = blocks.select("key", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), F.col("m").alias("x"))
+    right = blocks.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"), F.col("m").alias("y"))
+    cells = left.join(right, ["key", "i", "j"]).select(
+        (F.col("i") == F.col("j")).alias("same"), *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("node", "root", "length", "histogram")])
+
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for r in batch.to_pylist():
+                sides = []
+                for s in "xy":
+                    sides.append([np.array(r[f"{s}_{c}"], np.int64) for c in ("node", "root", "length")]
+                                 + [np.frombuffer(b"".join(r[f"{s}_histogram"]), np.uint16).reshape(-1, CELLS_OF_WORDS)])
+                (node, root, length, words), (nodes, roots, lengths, others) = sides
+                for k in range(len(node)):
+                    may = roots != root[k]
+                    if r["same"]:
+                        may &= nodes > node[k]
+                    longer = np.maximum(lengths, length[k])
+                    may &= MOST_EDITS * np.abs(lengths - length[k]) <= longer
+                    at = np.flatnonzero(may)
+                    common = np.minimum(others[at], words[k]).sum(1, dtype=np.int64)
+                    longer = longer[at]
+                    at = at[(longer - common <= longer // MOST_EDITS) | (longer > 65535)]
+                    found_a.append(np.maximum(nodes[at], node[k]))
+                    found_b.append(np.minimum(nodes[at], node[k]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], names=["a", "b"])
+
+    return cells.mapInArrow(run, "a long, b long").distinct()
 
 
 def _compare(pairs: DataFrame, docs: DataFrame, first: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -129,3 +129,25 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in parent if find(x) != x}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_unlike_members_of_a_bucket_meet_too(spark, monkeypatch):
+    monkeypatch.setattr(o, "BLOCK", 16)
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+
+    def copy(n):
+        w = list(base)
+        for k in rng.sample(range(200), n):
+            w[k] = f"s{rng.randrange(10**6)}"
+        return " ".join(w)
+    # Copies are alike to the original, but not to each other.
+    rows = [(0, " ".join(base))] + [(1 + k, copy(24)) for k in range(999)]
+    # A common passage that is half of many texts makes no class; pairs among them are found.
+    passage = " ".join(f"p{i}" for i in range(60))
+    for k in range(80):
+        text = passage + " " + " ".join(f"t{k}x{i}" for i in range(60))
+        rows += [(2000 + 2 * k, text), (2001 + 2 * k, edited(rng, text, 3))]
+    got = {r.doc_id: r.class_id for r in o.classes(docs(spark, rows)).collect()}
+    assert sum(got[k] == 0 for k in range(1000)) >= 990
+    assert all(got[2000 + 2 * k] == got[2001 + 2 * k] == 2000 + 2 * k for k in range(80))
