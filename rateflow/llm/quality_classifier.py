@@ -127,12 +127,12 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     here = known.join(texts.select("doc_id"), "doc_id", "left_semi")
     chosen = here.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
     # At most max_docs ids: small enough to ship to every task.
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"] is not None, r["text"] or ""))
-    unique = {}
-    for r in rows:  # a repeated id teaches once
-        unique.setdefault(r["doc_id"], (r["text"], r["y"]))
-    return fit(list(unique.values()))
+    # A repeated id teaches once, a null text before others, then the least.
+    one = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+        F.max("y").alias("y"), F.max(F.col("text").isNull()).alias("none"), F.min("text").alias("text"))
+    rows = one.select("doc_id", F.when(~F.col("none"), F.col("text")).alias("text"), "y").collect()
+    rows.sort(key=lambda r: r["doc_id"])
+    return fit([(r["text"], r["y"]) for r in rows])
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text",

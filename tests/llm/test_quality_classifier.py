@@ -60,3 +60,22 @@ def test_features_are_those_of_each_word():
         assert len(m.buckets(t)) == slow(t)
     assert len(m.buckets("")) == len(m.buckets(" \n")) == 0
     assert m.buckets("same same")[0] == 0  # a repeated word's pair
+
+
+def test_a_repeated_id_reaches_the_driver_once(spark, monkeypatch):
+    rows, labels = corpus(60)
+    hot = next(i for i, _ in rows if not spark.range(i, i + 1).select(m.held_out(m.F.col("id"))).first()[0])
+    many = rows + [(hot, f"z {k} copy") for k in range(500)]
+    collected, collect = [], type(spark.range(1)).collect
+
+    def counted(df):
+        out = collect(df)
+        collected.append(len(out))
+        return out
+    d, y = docs(spark, many), spark.createDataFrame(labels, LABELS)
+    monkeypatch.setattr(type(d), "collect", counted)
+    seen = []
+    monkeypatch.setattr(m, "fit", lambda examples: seen.append(examples))
+    m.train(d, y)
+    assert max(collected) <= 60 and len(seen[0]) == max(collected)
+    assert (min(t for i, t in many if i == hot), dict((i, q) for i, q, _ in labels)[hot]) in seen[0]
