@@ -4,7 +4,9 @@ Every page is parsed into a tree; the elements' subtrees are hashed and counted
 host in Spark, over pages of different content.  A subtree that recurs on many pages
 of its host is template and is deleted, as are elements that are never article text
 by their tag, role or class.  Text is read from the page's article (or main) element
-if it has one, else from the whole body.  Inside an article, running prose (headings,
+if it has one, else from the whole body; what wraps such an element is no boilerplate
+unless its tag is (nav, aside, footer), or its names speak of other articles.  Headings
+inside an article stay whatever their names, and paragraphs unless their class is an ad.  Inside an article, running prose (headings,
 paragraphs, quotes, preformatted text) is kept even if it recurs, as passages and
 whole articles are copied between pages; a recurring group (list, section, division,
 table, figure) is template there too.
@@ -35,6 +37,7 @@ DROPPED = set("""script style noscript template head title nav footer aside form
     iframe object embed svg canvas video audio map dialog menu noembed noframes xmp math""".split())
 BLOCKS = set("""address article blockquote body br caption center dd details div dl dt fieldset figcaption figure h1 h2 h3
     h4 h5 h6 header hgroup hr html legend li main ol p pre section summary table tbody td tfoot th thead tr ul""".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6 header hgroup".split())
 PROSE = set("h1 h2 h3 h4 h5 h6 p pre blockquote".split())
 ROLES = set("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 # Words of class and id names that mark boilerplate.
@@ -48,6 +51,8 @@ NAMES = set("""ad ads adv advert adverts advertisement advertising adsense spons
 OTHER_ARTICLES = set("""ad ads advert advertisement sponsored promo promotion comment comments reply replies related
     recommended teaser""".split())
 
+ADS = set("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored".split())
+
 _markup = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)", re.S)
@@ -59,26 +64,38 @@ _CLOSES = {"p": BLOCKS - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt",
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children", "key")
+    __slots__ = ("tag", "attributes", "children", "key", "holds")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.attributes, self.children, self.key = tag, attributes, [], 0
+        self.holds = False      # whether an article or main element is below
 
     def is_boilerplate(self, in_article: bool) -> bool:
         """Whether the element is no article text by its tag, role or names."""
-        if self.tag in DROPPED or (self.tag == "header" and not in_article):
+        if self.tag in DROPPED and not (self.holds and self.tag == "form"):
+            return True
+        if self.tag == "header" and not in_article and not self.holds:
             return True
         if not self.attributes or self.tag in ("html", "body", "main"):
             return False
         a = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _attribute.finditer(self.attributes)}
-        if "hidden" in a or a.get("aria-hidden") == "true" or a.get("role", "").lower() in ROLES:
+        if "hidden" in a or a.get("aria-hidden") == "true" or (a.get("role", "").lower() in ROLES and not self.holds):
             return True
         if "display:none" in a.get("style", "").replace(" ", "").lower():
             return True
         names = _name_words(f"{a.get('class', '')} {a.get('id', '')}".lower())
-        if self.tag == "article":
+        if self.tag == "article" or self.holds:
             return any(n in OTHER_ARTICLES for n in names)
-        return any(n in NAMES for n in names) and not (in_article and self.tag in ("header", "h1"))
+        if not in_article:
+            return any(n in NAMES for n in names)
+        # Inside an article, words of an id or a compound name are mostly its subject.
+        if self.tag in HEADINGS:
+            return False
+        names = a.get("class", "").lower().split()
+        if self.tag in PROSE:
+            return any(n in ADS for n in names)
+        return a.get("id", "").lower() in NAMES or any(
+            n in NAMES or any(w in NAMES and w != "header" for w in _name_words(n)) for n in names)
 
 
 def parse(page: str | None) -> Node:
@@ -115,6 +132,14 @@ def parse(page: str | None) -> Node:
                 break
         if tag in ("html", "body") and any(x.tag == tag for x in stack):
             continue
+        if tag in ("article", "main"):
+            # An element that is never closed does not take the article in.
+            for k in range(1, len(stack)):
+                if stack[k].tag in ("nav", "aside", "form") and not _is_closed(page, at, stack[k].tag):
+                    del stack[k:]
+                    break
+            for x in stack:
+                x.holds = True
         node = Node(tag, m[3] or "")
         stack[-1].children.append(node)
         if tag in RAW:
@@ -128,6 +153,17 @@ def parse(page: str | None) -> Node:
     return root
 
 
+def _is_closed(page: str, at: int, tag: str) -> bool:
+    """Whether the end tag of an element that is open at a place follows."""
+    depth = 1
+    for m in _markup.finditer(page, at):
+        if m[2] and m[2].lower() == tag:
+            depth += -1 if m[1] else 1
+            if depth == 0:
+                return True
+    return False
+
+
 def _walk(root: Node):
     """Elements, children before their parent."""
     todo = [(root, False)]

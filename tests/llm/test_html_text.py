@@ -74,3 +74,18 @@ def test_awkward_rows(spark):
     assert got == [(-1, "http://x/", TEXT, len(TEXT)), (1, None, "", 0), (2, "u", "", 0),
                    (3, "http://x/", TEXT, len(TEXT)), (3, "http://x/", TEXT, len(TEXT))]
     assert h.extract_pages(pages(spark, [])).collect() == []
+
+
+def test_wrappers_and_headings_of_the_article_stay():
+    from rateflow.llm.html_text import extract
+    article = "<article><h1>T</h1><p>real text</p></article>"
+    for page in (f"<body><form id=aspnetForm>{article}</form>", f"<div class='layout has-sidebar'>{article}</div>",
+                 f"<body><nav><a>x</a>{article}", f"<aside><p>x</p>{article}<nav><a>y</a></nav>", f"<form><input>{article}",
+                 f"<main><div class='has-sidebar'>{article}</div></main>"):
+        assert extract(page) == "T real text", page
+    inside = ("<article><div class='entry-header'><h1>T</h1></div><h2 id='related-work'>R</h2><p>a</p><h2 id='search'>S</h2>"
+              "<h2 class='section-header'>H</h2><p id='notice-period'>b</p><p class='ad'>buy</p><section id='related-work'>c</section>"
+              "<div class='share'>tweet</div></article>")
+    assert extract(inside) == "T R a S H b c"
+    assert extract(f"{article}<div class='related'><article><p>card</p></article></div>") == "T real text"
+    assert extract(f"{article}<aside><article><p>card</p></article></aside>") == "T real text"
