@@ -1,0 +1,90 @@
+"""Line dedup: brute force, ranges that cut through a key, bitmaps, awkward rows."""
+
+import hashlib
+import random
+
+import pytest
+from llm.helpers import AWKWARD, docs
+from rateflow.llm import line_dedup as d
+
+TABLE = str.maketrans(d.UPPER, d.LOWER)
+
+
+def key(line):
+    return line.strip(d.WHITE).translate(TABLE)
+
+
+def brute(rows):
+    """(id, lines, dropped lines, kept text) per row; a null id is after all others."""
+    rank = [(r[0] is None, r[0] or 0) for r in rows]
+    least = {}
+    for k, r in zip(rank, rows):
+        for line in (r[1] or "").split("\n"):
+            least[key(line)] = min(least.get(key(line), k), k)
+    out = []
+    for k, r in zip(rank, rows):
+        lines = (r[1] or "").split("\n")
+        keep = [x for x in lines if len(key(x)) < d.MIN_CHARS or least[key(x)] == k]
+        out.append((r[0], len(lines), len(lines) - len(keep), "\n".join(keep)))
+    return out
+
+
+def check(spark, rows):
+    got = sorted(map(repr, map(tuple, d.digests(docs(spark, rows)).collect())))
+    assert got == sorted(repr((*b[:3], hashlib.sha256(b[3].encode()).hexdigest())) for b in brute(rows))
+
+
+def test_equals_brute_force(spark):
+    rng = random.Random(4)
+    pool = [f"{rng.choice(['A', 'a'])} shared line number {i}" + rng.choice(["", " ", "\t\r"]) for i in range(30)]
+    pool += ["short", "", "  ", "Ähnliche Zeile", "ähnliche Zeile", "123456789", "1234567890", " 1234567890\x0b"]
+    rows = [(rng.choice([None, *range(60)]), "\n".join(rng.choices(pool, k=rng.randrange(12)))) for _ in range(150)]
+    check(spark, rows)
+
+
+def test_a_line_of_all_documents_spreads_over_many_partitions(spark):
+    shared = "one line that every document holds"
+    rows = [(i, f"{shared}\nown line of document {i}\n{shared.upper()}") for i in range(400, 0, -1)]
+    lines = d.hashed_lines(docs(spark, rows))
+    assert len({r.part for r in d.summaries(d.settled(lines.repartitionByRange(16, "h1", "h2", "id", "at"))).collect()}) == 16
+    check(spark, rows)
+    # Rows alike in every column spread as well, and lose no line to each other.
+    check(spark, [(7, shared)] * 500 + [(9, shared)])
+
+
+@pytest.mark.parametrize("cuts", [(), (3,), (1, 2, 3, 4), (2, 5), (5, 6)])
+def test_first_documents_are_carried_over_partitions(cuts):
+    class Part:
+        def __init__(self, part, rows):
+            self.part, self.whole = part, len({k for k, _ in rows}) == 1
+            (self.first1, self.first2), (self.last1, self.last2) = rows[0][0], rows[-1][0]
+            self.no_id, self.id = False, next(i for k, i in rows if k == rows[-1][0])
+
+    a, b = (1, 1), (1, 2)
+    rows = [(a, 4), (a, 5), (a, 6), (a, 7), (b, 2), (b, 3), (b, 9)]
+    edges = [0, *cuts, len(rows)]
+    parts = [Part(2 * n, rows[s:t]) for n, (s, t) in enumerate(zip(edges, edges[1:]))]
+    carry = d.carried(parts[::-1])
+    for n, (s, t) in enumerate(zip(edges, edges[1:])):
+        began = s and rows[s][0] == rows[s - 1][0]
+        assert carry.get(2 * n) == ((rows[s][0], (False, 4 if rows[s][0] == a else 2)) if began else None)
+
+
+def test_bitmaps_and_texts(spark):
+    rows = [(1, "first line of two\nsecond line of two"), (2, "SECOND LINE OF TWO \nown words here"), (3, None),
+            (4, "first line of two")]
+    df = docs(spark, rows, ["keep", "id", "h1", "c0"])
+    bitmaps = d.keep_bitmaps(df)
+    assert {(r.id, r.n_lines, r.n_dropped, tuple(d.unpack_bits(r.n_lines, bytes(r.keep)).tolist())) for r in bitmaps.collect()} == {
+        (2, 2, 1, (False, True)), (4, 1, 1, (False,))}
+    cut = d.apply_bitmaps(df, bitmaps)
+    assert cut.columns == df.columns
+    assert {r.doc_id: r.text for r in cut.collect()} == {1: rows[0][1], 2: "own words here", 3: None, 4: ""}
+    assert len(d.pack_bits(100_000, [5])) < 200
+
+
+def test_awkward_rows(spark):
+    check(spark, AWKWARD)
+    check(spark, [])
+    check(spark, [(None, "only null ids hold this line"), (None, "only null ids hold this line")])
+    check(spark, [(5, "a line as long as needed\n" * 3), (2 ** 60 + 1, "a line as long as needed"), (2 ** 60, "a line as long as needed")])
