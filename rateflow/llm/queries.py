@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rateflow.llm import (chat, html_text, license_scan, mixing, order_minhash, packing, pivot_search,
-                          quality_classifier, quality_rules, warc)
+from rateflow.llm import (chat, html_text, license_scan, line_dedup, mixing, order_minhash, packing, pivot_search,
+                          quality_classifier, quality_rules, target_resampling, warc, whitening)
 from rateflow.llm.common import table
 
 
@@ -54,16 +54,33 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = target_resampling.resample(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                       table(spark, sf_dir, "benchmark", "text"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_license_scan, op2_warc, op3_mixing, op4_quality_classifier, op5_quality_rules, op6_pivot_search,
-    op7_order_minhash, op8_html_text, op9_chat_format, op10_packing)}
+    op7_order_minhash, op8_html_text, op9_chat_format, op10_packing, op11_whitening, op12_line_dedup,
+    op13_target_resampling)}
 
 # Without SQL: op3 (random draws), op4 (a learned model), op7 (alignment), op8 (HTML
-# parsing) and op10 (tokenization); their tests compare with brute force.
+# parsing), op10 (tokenization) and op11 (eigenvectors); their tests compare with brute force.
 ORACLE: dict[str, str] = {
     "op1_license_scan": license_scan.oracle(),
     "op2_warc": warc.ORACLE,
     "op5_quality_rules": quality_rules.ORACLE,
     "op6_pivot_search": pivot_search.ORACLE,
     "op9_chat_format": chat.ORACLE,
+    "op12_line_dedup": line_dedup.ORACLE,
+    "op13_target_resampling": target_resampling.ORACLE,
 }
