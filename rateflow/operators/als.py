@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rateflow.functions.exprs import MIN_STORED_SIM, USER_RECS, rank_key
-from rateflow.operators.dense import best_per_block, cosine_above
+from rateflow.operators import normal_equations
+from rateflow.operators.dense import best_per_block, cosine_above, top_by_norm
 from rateflow.operators.similarity import mirror_pairs
 from rateflow.operators.topk import nest, rank_within, top_k_per_group
 from rateflow.session import shared_dir
@@ -48,11 +49,20 @@ def user_factors(model: ALSModel) -> DataFrame:
     return model.userFactors.select(F.col("id").alias("userId"), "features")
 
 
+def fold_in(model: ALSModel, new_ratings: DataFrame, reg: float = REG) -> DataFrame:
+    """(userId, features) of users from their ratings of the model's products, without a new fit."""
+    return normal_equations.fold_in(new_ratings, item_factors(model), reg)
+
+
+def residuals(model: ALSModel, ratings: DataFrame, reg: float = REG) -> DataFrame:
+    """(userId, residual): how far the fit's last step, the users', misses its equations."""
+    return normal_equations.residuals(ratings, user_factors(model), item_factors(model), "userId", "productId", reg)
+
+
 def top_products(users: DataFrame, items: DataFrame, k: int = USER_RECS) -> DataFrame:
     """(userId, rank, productId, score): the k products of the largest positive dot
     product per user, from (userId, features) and (productId, features)."""
-    best = best_per_block(users, items, k, "userId", "productId")
-    return top_k_per_group(best, ["userId"], [rank_key("score").desc(), F.col("productId")], k)
+    return top_by_norm(users, items, k, "userId", "productId")
 
 
 def user_recs(model: ALSModel, k: int = USER_RECS) -> DataFrame:

@@ -6,13 +6,11 @@ from pyspark.sql import functions as F
 
 from rateflow.functions.exprs import rank_key, round6
 from rateflow.operators import als
+from rateflow.operators import normal_equations as ne
 from rateflow.operators.topk import top_k_per_group
 from rateflow.plans.registry import register
 from rateflow.sources import fixtures as fx
 
-# Neighbours per product that the registered factor similarity lists.
-PRODUCT_TOP = 20
-
 SPLIT_SQL = """split AS (
   SELECT userId, productId, score, "timestamp",
          CASE WHEN (CAST(userId AS BIGINT) * 31 + CAST(productId AS BIGINT) * 17
@@ -91,7 +89,7 @@ def _als_user_recs(spark, d):
 
 @register("als_product_recs")
 def _als_product_recs(spark, d):
-    return als.product_recs(_model(spark, d), k=PRODUCT_TOP)
+    return als.product_recs(_model(spark, d))
 
 
 @register("factor_user_recs", fx.with_views("item_vectors", """v AS (
@@ -118,3 +116,107 @@ def _grid(spark, d):
 
 register("als_grid")(_grid)
 register("als_best_params")(lambda spark, d: als.best_params(_grid(spark, d)))
+
+
+# ---- least squares with given vectors: everything that a fit alternates, checked by SQL ----
+
+VECTOR_RANKS = (2, 3, 5)
+
+
+def _solved(name: str, source: str, key: str, other: str, factors: str, rank: int, reg: float) -> str:
+    """CTEs ``name`` (key, n, x0, x1, ...): each key's ridge system, by elimination without pivots.
+
+    ``source`` has (userId, productId, score), ``factors`` (other, f as a list).
+    """
+    upper = [(i, j) for i in range(rank) for j in range(i, rank)]
+    sums = [f"sum(v.f[{i + 1}] * v.f[{j + 1}]) + CASE WHEN {i} = {j} THEN {reg} * count(*) ELSE 0 END AS a0_{i}_{j}" for i, j in upper]
+    sums += [f"sum(r.score * v.f[{i + 1}]) AS b0_{i}" for i in range(rank)]
+    text = f"SELECT r.{key}, count(*) AS n, {', '.join(sums)} FROM {source} r JOIN {factors} v ON r.{other} = v.{other} GROUP BY r.{key}"
+    for k in range(rank - 1):
+        new = [f"a{k}_{i}_{j} - a{k}_{k}_{i} * a{k}_{k}_{j} / a{k}_{k}_{k} AS a{k + 1}_{i}_{j}" for i, j in upper if i > k]
+        new += [f"b{k}_{i} - a{k}_{k}_{i} * b{k}_{k} / a{k}_{k}_{k} AS b{k + 1}_{i}" for i in range(k + 1, rank)]
+        text = f"SELECT *, {', '.join(new)} FROM ({text})"
+    for i in reversed(range(rank)):
+        rest = "".join(f" - a{i}_{i}_{j} * x{j}" for j in range(i + 1, rank))
+        text = f"SELECT *, (b{i}_{i}{rest}) / a{i}_{i}_{i} AS x{i} FROM ({text})"
+    xs = ", ".join(f"x{i}" for i in range(rank))
+    return f"{name} AS (SELECT {key}, n, {xs}, [{xs}] AS f FROM ({text}))"
+
+
+def _factor_rows(df, key: str):
+    """(key, position, value) of factor vectors."""
+    return df.select(key, F.posexplode("features").alias("position", "value")).select(key, "position", round6("value").alias("value"))
+
+
+_UNNESTED = """
+SELECT {key}, CAST(generate_subscripts(f, 1) - 1 AS INTEGER) AS position, round(unnest(f), 6) AS value FROM {name}
+"""
+
+
+@register("als_normal_equations", fx.with_views(
+    ["ratings_orders", "product_vectors"], _solved("users", "ratings_orders", "userId", "productId", "product_vectors", als.RANK, als.REG))
+    + _UNNESTED.format(key="userId", name="users"))
+def _als_normal_equations(spark, d):
+    """Users' factors by least squares, for given vectors as product factors."""
+    return _factor_rows(ne.half_step(fx.ratings_orders(spark, d), fx.product_vectors(spark, d), "userId", "productId", als.REG), "userId")
+
+
+@register("als_sweep", fx.with_views(
+    ["ratings_orders", "product_vectors"], _solved("users", "ratings_orders", "userId", "productId", "product_vectors", als.RANK, als.REG),
+    _solved("items", "ratings_orders", "productId", "userId", "users", als.RANK, als.REG)) + _UNNESTED.format(key="productId", name="items"))
+def _als_sweep(spark, d):
+    """One whole iteration of the fit: given product vectors to users' factors to products' factors."""
+    r = fx.ratings_orders(spark, d)
+    users = ne.half_step(r, fx.product_vectors(spark, d), "userId", "productId", als.REG).checkpoint()
+    return _factor_rows(ne.half_step(r, users, "productId", "userId", als.REG), "productId")
+
+
+def _dot(rank: int) -> str:
+    return " + ".join(f"u.x{i} * v.f[{i + 1}]" for i in range(rank))
+
+
+_TRAIN = "train AS (SELECT * FROM split WHERE split = 'train')"
+
+
+@register("als_fold_in_predictions", fx.with_views(
+    ["ratings_orders", "product_vectors"], SPLIT_SQL, _TRAIN,
+    _solved("users", "train", "userId", "productId", "product_vectors", als.RANK, als.REG)) + f"""
+SELECT t.userId, t.productId, t."timestamp", t.score, round({_dot(als.RANK)}, 6) AS prediction
+FROM split t JOIN users u ON t.userId = u.userId JOIN product_vectors v ON t.productId = v.productId WHERE t.split = 'test'
+""")
+def _als_fold_in_predictions(spark, d):
+    """Users folded in by their training ratings; predictions for their held-out ones."""
+    items = fx.product_vectors(spark, d)
+    s = _split(spark, d)
+    users = ne.fold_in(s.where(F.col("split") == "train"), items, als.REG)
+    return (ne.predict(s.where(F.col("split") == "test"), users, items)
+            .select("userId", "productId", "timestamp", "score", round6("prediction").alias("prediction")))
+
+
+_GRID = [(rank, reg) for rank in VECTOR_RANKS for reg in als.GRID_REGS]
+_GRID_SQL = fx.with_views(
+    ["ratings_orders", "product_vectors"], SPLIT_SQL, _TRAIN,
+    *[_solved(f"u{n}", "train", "userId", "productId", "product_vectors", *point) for n, point in enumerate(_GRID)],
+    "points AS (" + " UNION ALL ".join(f"""
+  SELECT CAST({rank} AS INTEGER) AS rank, CAST({reg} AS DOUBLE) AS regParam,
+         sqrt(avg((t.score - ({_dot(rank)})) * (t.score - ({_dot(rank)})))) AS rmse
+  FROM split t JOIN u{n} u ON t.userId = u.userId JOIN product_vectors v ON t.productId = v.productId
+  WHERE t.split = 'test'""" for n, (rank, reg) in enumerate(_GRID)) + ")")
+
+
+def _vector_grid(spark, d):
+    s = _split(spark, d)
+    return ne.holdout_grid(s.where(F.col("split") == "train"), s.where(F.col("split") == "test"),
+                           fx.product_vectors(spark, d, max(VECTOR_RANKS)), VECTOR_RANKS, als.GRID_REGS)
+
+
+@register("factor_grid", _GRID_SQL + "SELECT rank, regParam, round(rmse, 6) AS rmse FROM points")
+def _factor_grid(spark, d):
+    """Held-out error of every rank and ridge, for given vectors as product factors."""
+    return _vector_grid(spark, d).select("rank", "regParam", round6("rmse").alias("rmse"))
+
+
+@register("factor_best_params", _GRID_SQL + """
+SELECT rank, regParam, round(rmse, 6) AS rmse FROM points ORDER BY round(points.rmse, 9), rank, regParam LIMIT 1""")
+def _factor_best_params(spark, d):
+    return als.best_params(_vector_grid(spark, d)).select("rank", "regParam", round6("rmse").alias("rmse"))

@@ -137,6 +137,14 @@ def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("embedding").alias("features"))
 
 
+def product_vectors(spark: SparkSession, sf_dir: str, rank: int = 5) -> DataFrame:
+    """Given factors for every product: the first numbers of the vector that its id falls on."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias("productId"))
+    return (p.withColumn("vec_id", p.productId % F.lit(e.count())).join(e, "vec_id")
+            .select("productId", F.slice("embedding", 1, rank).cast("array<double>").alias("features")))
+
+
 def similarities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Co-occurrence similarity over history, > 0.6, no self pairs, both orders."""
     from rateflow.operators.itemcf import similarity_above
@@ -243,6 +251,9 @@ _SQL = {
   FROM hist_pairs pr JOIN hist_counts c1 ON pr.p1 = c1.productId
                      JOIN hist_counts c2 ON pr.p2 = c2.productId
   WHERE round(pr.co / sqrt(CAST(c1.n AS DOUBLE) * CAST(c2.n AS DOUBLE)), 9) > 0.6""",
+    "product_vectors": """
+  SELECT CAST(p.p_partkey AS INTEGER) AS productId, CAST(e.embedding AS DOUBLE[]) AS f
+  FROM part p JOIN embeddings e ON e.vec_id = p.p_partkey % (SELECT count(*) FROM embeddings)""",
     "item_vectors": """
   SELECT CAST(vec_id AS INTEGER) AS productId, embedding AS features FROM embeddings""",
 }

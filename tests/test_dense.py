@@ -1,0 +1,71 @@
+"""Top-k by falling norm: brute force, blocks that are never shipped, awkward vectors."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rateflow.operators.dense import best_per_block, top_by_norm
+
+
+def _frame(spark, x, key):
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], f"{key} int, features array<double>")
+
+
+def _brute(u, v, k, above=0.0):
+    s = np.round(u @ v.T, 9)
+    return {i: [int(j) for j in np.lexsort((np.arange(len(v)), -s[i])) if s[i, j] > above][:k] for i in range(len(u))}
+
+
+def _lists(df):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r.userId, []).append((r["rank"], r.productId))
+    return {i: [p for _, p in sorted(x)] for i, x in out.items()}
+
+
+@pytest.mark.parametrize("spread", [0.0, 1.0, 2.5])
+def test_equals_brute_force_for_any_spread_of_norms(spark, spread):
+    rng = np.random.default_rng(int(10 * spread))
+    u, v = rng.normal(size=(90, 6)), rng.normal(size=(400, 6))
+    v *= np.exp(spread * rng.normal(size=(400, 1)))
+    v[11], v[13], v[17], u[5] = v[10], v[10], 0.0, 0.0
+    pairs = []
+    got = _lists(top_by_norm(_frame(spark, u, "userId"), _frame(spark, v, "productId"), 7, "userId", "productId", block_size=16,
+                             told=lambda first, n: pairs.append(n)))
+    want = _brute(u, v, 7)
+    assert all(got.get(i, []) == want[i] for i in range(90))
+    everywhere = 6 * 25
+    assert sum(pairs) <= everywhere * 1.3
+    if spread == 2.5:
+        assert sum(pairs) < everywhere / 3, pairs
+
+
+def test_factors_with_a_few_strong_items_ship_few_blocks(spark):
+    rng = np.random.default_rng(3)
+    users = np.abs(rng.normal(size=(600, 8)))
+    items = np.abs(rng.normal(size=(3000, 8))) / (1 + np.arange(3000)[:, None] / 20)
+    pairs = []
+    got = _lists(top_by_norm(_frame(spark, users, "userId"), _frame(spark, items[::-1], "productId"), 20, "userId", "productId",
+                             block_size=50, told=lambda first, n: pairs.append((first, n))))
+    assert got == _brute(users, items[::-1], 20)
+    assert sum(n for _, n in pairs) < 12 * 60 / 5, pairs       # of 12 x 60 block pairs
+
+
+def test_same_lists_as_all_blocks(spark):
+    rng = np.random.default_rng(8)
+    u, v = _frame(spark, rng.normal(size=(50, 4)), "userId"), _frame(spark, rng.normal(size=(70, 4)), "productId")
+    all_pairs = best_per_block(u, v, 5, "userId", "productId", block_size=20)
+    ours = top_by_norm(u, v, 5, "userId", "productId", block_size=20)
+    kept = {(r.userId, r.productId, round(r.score, 9)) for r in all_pairs.collect()}
+    assert {(r.userId, r.productId, round(r.score, 9)) for r in ours.collect()} <= kept
+
+
+def test_awkward_vectors(spark):
+    schema = "{} int, features array<float>"
+    u = spark.createDataFrame([(1, [1.0, 0.0]), (2, [-1.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [1.0, 0.0])], schema.format("userId"))
+    v = spark.createDataFrame([(1, [2.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 9.0]), (4, None), (5, [1.0, 1.0])], schema.format("productId"))
+    assert _lists(top_by_norm(u, v, 2, "userId", "productId")) == {1: [1, 2], 5: [1, 2]}
+    assert _lists(top_by_norm(u, v, 9, "userId", "productId", block_size=1)) == {1: [1, 2, 5], 5: [1, 2, 5]}
+    for a, b in ((u.where(F.lit(False)), v), (u, v.where(F.lit(False)))):
+        empty = top_by_norm(a, b, 2, "userId", "productId")
+        assert empty.columns == ["userId", "rank", "productId", "score"] and empty.collect() == []
