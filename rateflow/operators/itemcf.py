@@ -58,15 +58,23 @@ def cooccurrence(ratings: DataFrame, include_self: bool = True) -> DataFrame:
     With ``include_self`` the table also has (p, p) rows, as a self-join on the
     user produces them.
     """
-    half = half_pairs(ratings)
-    n = rating_counts(ratings)
-    pairs = mirror(half, "product1", "product2", ["cocount"])
+    pairs = both_ways(half_pairs(ratings))
     if include_self:
         m = user_product_multiplicity(ratings)
         diag = m.groupBy("productId").agg(F.sum(F.col("m") * F.col("m")).alias("cocount"))
         pairs = pairs.unionByName(diag.select(F.col("productId").alias("product1"),
                                               F.col("productId").alias("product2"),
                                               "cocount"))
+    return with_counts(pairs, rating_counts(ratings))
+
+
+def both_ways(half: DataFrame) -> DataFrame:
+    """(product1 < product2, cocount) in either order."""
+    return mirror(half, "product1", "product2", ["cocount"])
+
+
+def with_counts(pairs: DataFrame, n: DataFrame) -> DataFrame:
+    """``pairs`` with the rating counts of both products."""
     n1 = n.select(F.col("productId").alias("product1"), F.col("count").alias("count1"))
     n2 = n.select(F.col("productId").alias("product2"), F.col("count").alias("count2"))
     return pairs.join(n1, "product1").join(n2, "product2").select(
@@ -76,8 +84,11 @@ def cooccurrence(ratings: DataFrame, include_self: bool = True) -> DataFrame:
 def similarity(ratings: DataFrame, dedup: bool = False) -> DataFrame:
     """product1, product2, sim for every co-rated pair of distinct products.
     ``dedup`` counts each (user, product) once, which keeps sim <= 1."""
-    half = half_pairs(ratings, dedup)
-    n = rating_counts(ratings, dedup)
+    return scored_pairs(half_pairs(ratings, dedup), rating_counts(ratings, dedup))
+
+
+def scored_pairs(half: DataFrame, n: DataFrame) -> DataFrame:
+    """(product1, product2, sim) in either order, from half pairs and rating counts."""
     n1 = n.select(F.col("productId").alias("product1"), F.col("count").alias("n1"))
     n2 = n.select(F.col("productId").alias("product2"), F.col("count").alias("n2"))
     scored = (half.join(n1, "product1").join(n2, "product2")
@@ -97,9 +108,12 @@ def top_neighbours(ratings: DataFrame, k: int = ITEM_NEIGHBOURS,
                    dedup: bool = False) -> DataFrame:
     """(productId, rank, simProductId, score): k most similar per product,
     ties broken by neighbour id."""
-    s = similarity(ratings, dedup).select(F.col("product1").alias("productId"),
-                                   F.col("product2").alias("simProductId"),
-                                   F.col("sim").alias("score"))
+    return neighbours_of(similarity(ratings, dedup), k)
+
+
+def neighbours_of(sims: DataFrame, k: int = ITEM_NEIGHBOURS) -> DataFrame:
+    """(productId, rank, simProductId, score) of (product1, product2, sim)."""
+    s = sims.select(F.col("product1").alias("productId"), F.col("product2").alias("simProductId"), F.col("sim").alias("score"))
     return top_k_per_group(s, ["productId"],
                            [rank_key("score").desc(), F.col("simProductId").asc()], k)
 

@@ -76,8 +76,8 @@ FROM ratings r JOIN (SELECT productId, count(*) AS count FROM ratings GROUP BY p
   ON r.productId = c.productId
 """)(lambda spark, d: itemcf.rating_with_count(fx.ratings(spark, d)))
 
-_COUNTS = "c AS (SELECT productId, count(*) AS n FROM ratings GROUP BY productId)"
-_PAIRS = """pairs AS (
+COUNTS_SQL = "c AS (SELECT productId, count(*) AS n FROM ratings GROUP BY productId)"
+PAIRS_SQL = """pairs AS (
   SELECT a.productId AS product1, b.productId AS product2, count(*) AS cocount
   FROM ratings a JOIN ratings b ON a.userId = b.userId
   GROUP BY 1, 2)"""
@@ -93,13 +93,14 @@ _TOP10 = """top AS (
   FROM sims
   QUALIFY rank <= 10)"""
 
-register("itemcf_cooccurrence", fx.with_views("ratings", _COUNTS, _PAIRS) + """
+COOCCURRENCE_SQL = """
 SELECT p.product1, p.product2, p.cocount, c1.n AS count1, c2.n AS count2
 FROM pairs p JOIN c c1 ON p.product1 = c1.productId JOIN c c2 ON p.product2 = c2.productId
-""")(lambda spark, d: itemcf.cooccurrence(fx.ratings(spark, d)))
+"""
+register("itemcf_cooccurrence", fx.with_views("ratings", COUNTS_SQL, PAIRS_SQL) + COOCCURRENCE_SQL)(lambda spark, d: itemcf.cooccurrence(fx.ratings(spark, d)))
 
 
-@register("itemcf_similarity", fx.with_views("ratings", _COUNTS, _PAIRS, _SIMS) + """
+@register("itemcf_similarity", fx.with_views("ratings", COUNTS_SQL, PAIRS_SQL, _SIMS) + """
 SELECT product1, product2, round(sim, 6) AS sim FROM sims
 """)
 def _itemcf_similarity(spark, d):
@@ -124,7 +125,7 @@ def _itemcf_similarity_dedup(spark, d):
 
 
 @register("itemcf_similarity_top10",
-          fx.with_views("ratings", _COUNTS, _PAIRS, _SIMS, _TOP10) + """
+          fx.with_views("ratings", COUNTS_SQL, PAIRS_SQL, _SIMS, _TOP10) + """
 SELECT productId, rank, simProductId, round(sim, 6) AS score FROM top
 """)
 def _itemcf_top10(spark, d):
@@ -134,7 +135,7 @@ def _itemcf_top10(spark, d):
 
 @register("itemcf_similarity_top10_wide", fx.with_views(
     "wide_ratings", *(x.replace("FROM ratings", "FROM wide_ratings").replace("JOIN ratings", "JOIN wide_ratings")
-                      for x in (_COUNTS, _PAIRS, _SIMS, _TOP10))) + """
+                      for x in (COUNTS_SQL, PAIRS_SQL, _SIMS, _TOP10))) + """
 SELECT productId, rank, simProductId, round(sim, 6) AS score FROM top
 """)
 def _itemcf_top10_wide(spark, d):
@@ -144,7 +145,7 @@ def _itemcf_top10_wide(spark, d):
 
 
 @register("itemcf_product_recs",
-          fx.with_views("ratings", _COUNTS, _PAIRS, _SIMS, _TOP10) + """
+          fx.with_views("ratings", COUNTS_SQL, PAIRS_SQL, _SIMS, _TOP10) + """
 SELECT c.productId,
        coalesce(list(t.simProductId ORDER BY t.rank) FILTER (WHERE t.simProductId IS NOT NULL),
                 CAST([] AS INTEGER[])) AS recProductIds,
@@ -164,7 +165,7 @@ def _itemcf_product_recs(spark, d):
 
 
 @register("similarity_flatten",
-          fx.with_views("ratings", _COUNTS, _PAIRS, _SIMS, _TOP10) + """
+          fx.with_views("ratings", COUNTS_SQL, PAIRS_SQL, _SIMS, _TOP10) + """
 SELECT productId, simProductId, round(sim, 6) AS score FROM top
 """)
 def _similarity_flatten(spark, d):

@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 from rateflow.plans.io_checks import LOG_FILTER_SQL, _ALL_CAST, _RATING_CASTS, msg_parsed
 from rateflow.plans.online import (ALL_RECENTS_SQL, LATEST_SQL, ONLINE_VIEWS, SPLIT_EPOCH,
                                    _flat_rounded)
+from rateflow.plans.offline import COOCCURRENCE_SQL, COUNTS_SQL, PAIRS_SQL
 from rateflow.plans.registry import register
+from rateflow.schemas import RATING
 from rateflow.session import scratch_path
 from rateflow.sources import fixtures as fx
+from rateflow.sources import record_log, text
 from rateflow.sources.tables import KeyedLog, as_ratings
-from rateflow.streaming import jobs
+from rateflow.streaming import jobs, live_state
+from rateflow.streaming.co_rating import CoRating
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -29,6 +33,41 @@ def _log_rating_filter_streaming(spark, d):
     return spark.read.parquet(f"{base}/sink").select("event_id", "value")
 
 
+@register("log_rating_filter_bus", LOG_FILTER_SQL.replace("SELECT event_id, value FROM", "SELECT split_part(value, '|', 1) AS key, value FROM", 1))
+def _log_rating_filter_bus(spark, d):
+    """Log lines from one record log into another, keyed by user, over two runs."""
+    base = scratch_path(spark, "bus")
+    record_log.register(spark)
+    lines = fx.log_lines(spark, d).select(F.col("event_id").cast("string").alias("key"), "value", (F.col("event_id") % 2).alias("half"))
+    for half in (0, 1):
+        (lines.where(F.col("half") == half).drop("half").write.format("record_log").option("path", f"{base}/log")
+         .option("partitions", 3).mode("append").save())
+        q = jobs.start_log_filter(spark, f"{base}/log", f"{base}/ratings", f"{base}/checkpoint", trigger=AVAILABLE_NOW,
+                                  source_format="record_log", sink_format="record_log",
+                                  sink_options={"writer": "filter", "partitions": 4})
+        jobs.run_to_end(q)
+    return spark.read.format("record_log").load(f"{base}/ratings").select("key", "value")
+
+
+@register("rating_message_parse_bus", fx.with_views("rating_message_lines", msg_parsed("rating_message_lines")) + f"""
+SELECT event_id, {_RATING_CASTS} FROM parsed WHERE {_ALL_CAST}
+""")
+def _rating_message_parse_bus(spark, d):
+    """Messages read as a stream from a record log of three partitions, stopped and started again half-way."""
+    base = scratch_path(spark, "bus")
+    record_log.register(spark)
+    lines = fx.message_lines(spark, d).select(F.col("event_id").cast("string").alias("key"), "value", (F.col("event_id") % 2).alias("half"))
+    for half in (0, 1):
+        (lines.where(F.col("half") == half).drop("half").write.format("record_log").option("path", f"{base}/log")
+         .option("partitions", 3).mode("append").save())
+        records = spark.readStream.format("record_log").load(f"{base}/log")
+        parsed = text.parse_rating_messages(records.select(F.col("key").cast("long").alias("event_id"), "value"))
+        good, _ = text.split_good_bad(parsed, RATING.fieldNames(), keys=["event_id"])
+        jobs.run_to_end(good.writeStream.format("parquet").option("path", f"{base}/good").option("checkpointLocation", f"{base}/checkpoint")
+                        .trigger(**AVAILABLE_NOW).start())
+    return spark.read.parquet(f"{base}/good")
+
+
 @register("user_recent_ratings_streaming", fx.with_views("ratings", ALL_RECENTS_SQL) + """
 SELECT userId, rank, productId, score FROM recents
 """)
@@ -44,6 +83,34 @@ def _user_recent_ratings_streaming(spark, d):
     return jobs.recent_from_log(KeyedLog(spark, f"{base}/state", jobs.RECENT_STATE).read())
 
 
+@register("user_recent_ratings_state", fx.with_views("ratings", ALL_RECENTS_SQL) + """
+SELECT userId, rank, productId, score FROM recents
+""")
+def _user_recent_ratings_state(spark, d):
+    """The lists as Spark's keyed state: the newer half of the ratings comes first, then, after a restart,
+    the older half late."""
+    base = scratch_path(spark, "recent-state")
+    rows = as_ratings(fx.ratings(spark, d))
+    for newer in (True, False):
+        part = rows.where((F.col("timestamp") >= SPLIT_EPOCH) == newer)
+        part.repartition(4, F.xxhash64("timestamp", "productId")).write.mode("append").parquet(f"{base}/source")
+        lines = spark.readStream.schema(RATING).option("maxFilesPerTrigger", 2).parquet(f"{base}/source")
+        jobs.run_to_end(live_state.start_recent_state(spark, lines, f"{base}/checkpoint", trigger=AVAILABLE_NOW))
+    return live_state.recent_from_state(spark, f"{base}/checkpoint")
+
+
+@register("itemcf_cooccurrence_incremental", fx.with_views("ratings", COUNTS_SQL, PAIRS_SQL) + COOCCURRENCE_SQL)
+def _itemcf_cooccurrence_incremental(spark, d):
+    """Co-rating counts after three batches of ratings, the second of them counted twice by a retry."""
+    store = CoRating(spark, scratch_path(spark, "co-rating"), buckets=8)
+    rows = fx.ratings(spark, d).withColumn("part", F.pmod(F.xxhash64("userId", "productId", "timestamp"), F.lit(3)))
+    for nr, part in enumerate((0, 1, 1, 2)):
+        store.add(rows.where(F.col("part") == part), nr - (nr > 1))
+        if nr == 2:
+            store.compact(1)
+    return store.cooccurrence()
+
+
 # Messages of the first run are history in the second one.
 _LIVE = ["""past AS (
   SELECT phase, userId, productId, score, "timestamp" FROM history, (VALUES (0), (1)) AS v(phase)

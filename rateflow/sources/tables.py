@@ -135,3 +135,93 @@ class KeyedLog:
                 files.remove(self.spark, f"{self.path}/_snapshot/{n}")
         for n in marked[:-2]:
             files.remove(self.spark, f"{self.path}/_marker/{n}")
+
+
+class BucketedLog(KeyedLog):
+    """A keyed log in buckets of its key, each folded on its own.
+
+    Rows lie under ``batch_id=<n>/bucket=<b>``, so a reader of some keys reads their
+    buckets' files only.  A compaction rewrites the buckets that have new rows and no
+    others: a snapshot holds just those, and of each bucket the newest marked snapshot
+    that has it counts.  Markers, retries and retirement work as in ``KeyedLog``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str, buckets: int):
+        super().__init__(spark, path, schema)
+        self.key, self.buckets = key, buckets
+        self._full = T.StructType([*self._full.fields, T.StructField("bucket", T.IntegerType())])
+
+    def bucket(self, key: str | None = None) -> F.Column:
+        """The bucket of a key column."""
+        return F.pmod(F.hash(key or self.key), F.lit(self.buckets))
+
+    def buckets_of(self, keys: DataFrame) -> list[int]:
+        """Buckets of a table's keys; as many numbers as there are buckets at most."""
+        return sorted(r[0] for r in keys.select(self.bucket()).distinct().collect())
+
+    def append(self, df: DataFrame, batch_id: int) -> None:
+        (df.select(*self.schema.fieldNames()).withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .withColumn("bucket", self.bucket()).repartition("bucket")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id", "bucket").parquet(self.path))
+
+    def _folded(self) -> dict[int, str]:
+        """Per bucket the newest marked snapshot that has it."""
+        found: dict[int, str] = {}
+        for name in self._marked():
+            found |= {int(n.split("=")[1]): name for n in files.names(self.spark, f"{self.path}/_snapshot/{name}")
+                      if n.startswith("bucket=")}
+        return found
+
+    def read(self, buckets: list[int] | None = None, before: int | None = None) -> DataFrame:
+        """Rows of the log; with ``buckets`` only of these, with ``before`` only of earlier batches."""
+        m = self.marker()
+        log = self._log()
+        if buckets is not None:
+            log = log.where(F.col("bucket").isin(buckets))
+        if before is not None:
+            log = log.where(F.col("batch_id") < before)
+        if m is None:
+            return log.drop("bucket")
+        wanted = {b: n for b, n in self._folded().items() if buckets is None or b in buckets}
+        log = log.where(F.col("batch_id") > m).drop("bucket")
+        if not wanted:
+            return log
+        snap = self.spark.read.schema(self.schema).parquet(*[f"{self.path}/_snapshot/{n}/bucket={b}" for b, n in wanted.items()])
+        return snap.withColumn("batch_id", F.lit(m).cast("long")).unionByName(log)
+
+    def compact(self, fold, upto: int) -> None:
+        """As ``KeyedLog.compact``, over the buckets with rows since the last marker."""
+        m = self.marker()
+        if m is None or m < upto:
+            since = self._log().where((F.col("batch_id") > (-1 if m is None else m)) & (F.col("batch_id") <= upto))
+            touched = sorted(r[0] for r in since.select("bucket").distinct().collect())
+            name = f"{upto:020d}-{uuid.uuid4().hex[:12]}"
+            if touched:
+                current = self.read(touched).where(F.col("batch_id") <= upto)
+                (fold(current).select(*self.schema.fieldNames()).withColumn("bucket", self.bucket()).repartition("bucket")
+                 .write.partitionBy("bucket").parquet(f"{self.path}/_snapshot/{name}"))
+            for b in touched:   # a bucket that folds to nothing must not fall back to an older snapshot
+                files.create(self.spark, f"{self.path}/_snapshot/{name}/bucket={b}/_folded")
+            files.create(self.spark, f"{self.path}/_marker/{name}")
+        self._retire()
+
+    def _retire(self) -> None:
+        """Remove what the marker before the newest covers; snapshots that a bucket still needs stay."""
+        marked = self._marked()
+        if len(marked) < 2:
+            return
+        covered = int(marked[-2].split("-")[0])
+        files.create(self.spark, f"{self.path}/_retired/{covered}")
+        for n in files.names(self.spark, self.path):
+            if n.startswith("batch_id=") and int(n.split("=")[1]) <= covered:
+                files.remove(self.spark, f"{self.path}/{n}")
+        held = {n: set(files.names(self.spark, f"{self.path}/_snapshot/{n}")) for n in marked}
+        for at, n in enumerate(marked[:-2]):
+            later = set().union(*(held[x] for x in marked[at + 1:-1]))
+            if {b for b in held[n] if b.startswith("bucket=")} <= later:
+                files.remove(self.spark, f"{self.path}/_snapshot/{n}")
+                files.remove(self.spark, f"{self.path}/_marker/{n}")
+        for n in files.names(self.spark, f"{self.path}/_snapshot"):
+            if n < marked[-2] and n not in marked:
+                files.remove(self.spark, f"{self.path}/_snapshot/{n}")

@@ -30,7 +30,7 @@ from rateflow.functions.exprs import RECENT_RATINGS
 from rateflow.operators import scoring
 from rateflow.operators.topk import top_k_per_group
 from rateflow.schemas import RATING, RECOMMENDATION
-from rateflow.sources import text
+from rateflow.sources import record_log, text
 from rateflow.sources.tables import KeyedLog
 
 LINE_SCHEMA = "event_id bigint, value string"
@@ -59,12 +59,16 @@ def _source(spark: SparkSession, path: str, schema, max_files: int | None,
             fmt: str = "parquet", options: dict | None = None) -> DataFrame:
     """A file source by default.  With ``fmt='kafka'`` (package on the classpath)
     ``path`` is ignored and ``options`` carry the servers, the topic, starting
-    offsets and the rate limit (``maxOffsetsPerTrigger``); a record becomes
+    offsets and the rate limit (``maxOffsetsPerTrigger``); with ``fmt='record_log'``
+    ``path`` is the log's folder and ``options`` are those of ``record_log``.  A record becomes
     (event_id, value), its id made of topic, partition and offset, as offsets
     alone repeat between partitions."""
     r = spark.readStream.format(fmt).options(**(options or {}))
     if fmt == "kafka":
         return bus_lines(r.load())
+    if fmt == "record_log":
+        record_log.register(spark)
+        return bus_lines(r.load(path))
     r = r.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
@@ -91,14 +95,17 @@ def start_log_filter(spark: SparkSession, source: str, sink: str, checkpoint: st
                      source_format: str = "parquet",
                      source_options: dict | None = None, sink_format: str = "parquet",
                      sink_options: dict | None = None) -> StreamingQuery:
-    """Log lines -> rating payloads.  With ``sink_format='kafka'`` records are
-    keyed by the user id (first payload field), so they spread over the topic's
-    partitions instead of all hashing to one."""
+    """Log lines -> rating payloads.  With ``sink_format='kafka'`` or ``'record_log'`` records
+    are keyed by the user id (first payload field), so they spread over the topic's
+    partitions instead of all hashing to one, and a user's stay in order."""
     lines = _source(spark, source, LINE_SCHEMA, max_files, source_format, source_options)
     out = text.extract_rating_payloads(lines)
-    if sink_format == "kafka":
+    if sink_format in ("kafka", "record_log"):
         out = out.select(F.split("value", "\\|").getItem(0).alias("key"), "value")
-        w = out.writeStream.format("kafka").options(**(sink_options or {}))
+        w = out.writeStream.format(sink_format).options(**(sink_options or {}))
+        if sink_format == "record_log":
+            record_log.register(spark)
+            w = w.option("path", sink)
     else:
         w = out.writeStream.format(sink_format).option("path", sink)
     w = w.option("checkpointLocation", checkpoint).outputMode("append")
