@@ -105,8 +105,9 @@ def carried(parts: list) -> dict[int, tuple]:
 def repeated_lines(lines: DataFrame) -> DataFrame:
     """(id, t1, t2, n_lines, at) of each line whose key an earlier document holds."""
     order = [F.col("h1"), F.col("h2"), F.col("id").asc_nulls_last(), F.col("at"), F.col("t1"), F.col("t2")]
-    # The row number keeps the partitions even where rows are equal; it decides nothing.
-    dealt = settled(lines.repartitionByRange(*order, F.col("nr")).sortWithinPartitions(*order))
+    # Settled first, as finding the ranges reads the rows once more than dealing them.  The
+    # row number keeps the partitions even where rows are equal; it decides nothing.
+    dealt = settled(settled(lines).repartitionByRange(*order, F.col("nr")).sortWithinPartitions(*order))
     carry = carried(summaries(dealt).collect())
     names = ["id", "t1", "t2", "n_lines", "at"]
 
