@@ -13,7 +13,7 @@ from rateflow.operators import als, content, itemcf, stats
 from rateflow.operators.topk import nest
 from rateflow.schemas import PRODUCT_RECS, RATING, SIMILARITY, USER_RECS
 from rateflow.sources import tables, text
-from rateflow.streaming.jobs import write_history
+from rateflow.streaming.jobs import write_history, write_similarities
 
 
 def load(spark: SparkSession, base: str, products_path: str, ratings_path: str) -> None:
@@ -50,7 +50,7 @@ def factors(spark: SparkSession, base: str, k: int | None = None, **model) -> No
     """
     fitted = als.fit(tables.read_ratings(spark, f"{base}/Rating"), **model)
     tables.write_table(_typed(als.user_recs(fitted), USER_RECS), f"{base}/UserRecs")
-    tables.write_table(_typed(als.similarity_table(als.product_recs(fitted, k=k)), SIMILARITY), f"{base}/Similarity")
+    write_similarities(_typed(als.similarity_table(als.product_recs(fitted, k=k)), SIMILARITY), f"{base}/Similarity")
     similar = tables.read_table(spark, f"{base}/Similarity", SIMILARITY).withColumnRenamed("sim", "score")
     ranked = als.rank_within(similar, ["productId"], [als.rank_key("score").desc(), "simProductId"])
     tables.write_table(_typed(nest(ranked, "productId"), PRODUCT_RECS), f"{base}/ProductRecs")

@@ -86,7 +86,11 @@ def message_recs(messages: DataFrame, sims: DataFrame, rated: DataFrame,
                  recents: DataFrame) -> DataFrame:
     """(event_id, userId, timestamp, recs) per message; recs is sorted best
     first and empty when nothing scored."""
-    cand = candidates(messages, sims, rated)
+    return scored_recs(messages, candidates(messages, sims, rated), sims, recents)
+
+
+def scored_recs(messages: DataFrame, cand: DataFrame, sims: DataFrame, recents: DataFrame) -> DataFrame:
+    """``message_recs`` from the messages' candidates; ``sims`` needs the candidates' rows only."""
     ranked = ranked_scores(scores(cand, recents, sims))
     nested = nest(ranked.select("event_id", "userId", "rank", "productId", "score"), ["event_id", "userId"],
                   items=(("productId", "productId"), ("score", "score")))

@@ -89,9 +89,20 @@ def _als_user_recs(spark, d):
 
 @register("als_product_recs")
 def _als_product_recs(spark, d):
+    """Every similar product of every product."""
     return als.product_recs(_model(spark, d))
 
 
+# Neighbours per product in the short lists.
+PRODUCT_TOP = 20
+
+
+@register("als_product_top20")
+def _als_product_top20(spark, d):
+    """The same lists cut to the most similar products, of which no more than these leave a task."""
+    return als.product_recs(_model(spark, d), k=PRODUCT_TOP)
+
+
 @register("factor_user_recs", fx.with_views("item_vectors", """v AS (
   SELECT productId AS id, CAST(features AS DOUBLE[]) AS f FROM item_vectors)""", """dots AS (
   SELECT u.id AS userId, i.id AS productId, list_dot_product(u.f, i.f) AS score FROM v u, v i)""") + f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from rateflow.schemas import PRODUCT, RATING
 from rateflow.plans.registry import register
 from rateflow.session import scratch_path
@@ -34,16 +36,30 @@ _ALL_CAST = """len(f) >= 4 AND TRY_CAST(f[1] AS INTEGER) IS NOT NULL
   AND TRY_CAST(f[4] AS INTEGER) IS NOT NULL"""
 
 
-@register("load_ratings", fx.with_views("rating_lines", """parsed AS (
+LOAD_RATINGS_SQL = fx.with_views("rating_lines", """parsed AS (
   SELECT string_split(regexp_replace(value, '(?:,)+$', ''), ',') AS f FROM rating_lines)""") + f"""
 SELECT {_RATING_CASTS} FROM parsed WHERE {_ALL_CAST}
-""")
+"""
+
+
+@register("load_ratings", LOAD_RATINGS_SQL)
 def _load_ratings(spark, d):
     good, _ = text.split_good_bad(text.parse_rating_lines(fx.rating_lines(spark, d)),
                                   RATING.fieldNames())
     return good
 
 
+@register("load_ratings_csv", LOAD_RATINGS_SQL)
+def _load_ratings_csv(spark, d):
+    """The rating file with every second field in quotes, through the CSV reader."""
+    path = scratch_path(spark, "ratings-csv")
+    parts = F.split("value", ",")
+    quoted = F.transform(parts, lambda x, i: F.when(i % 2 == 1, F.concat(F.lit('"'), x, F.lit('"'))).otherwise(x))
+    fx.rating_lines(spark, d).select(F.array_join(quoted, ",").alias("value")).write.text(path)
+    good, _ = text.read_ratings_text(spark, path, quoted=True)
+    return good
+
+
 def msg_parsed(lines: str) -> str:
     return f"""parsed AS (
   SELECT event_id, value, string_split(regexp_replace(value, '(?:\\|)+$', ''), '|') AS f

@@ -150,7 +150,7 @@ FROM latest l LEFT JOIN ranked r ON l.event_id = r.event_id
 """)
 def _stream_recs_streaming(spark, d):
     base = scratch_path(spark, "recs-stream")
-    fx.similarities(spark, d).write.parquet(f"{base}/sims")
+    jobs.write_similarities(fx.similarities(spark, d), f"{base}/sims", 16)
     jobs.write_history(as_ratings(fx.history(spark, d)), f"{base}/history")
     msgs = fx.messages(spark, d)
     for newer in (False, True):
@@ -160,5 +160,4 @@ def _stream_recs_streaming(spark, d):
                                    sims_path=f"{base}/sims", history_path=f"{base}/history",
                                    quarantine_path=f"{base}/quarantine", trigger=AVAILABLE_NOW)
         jobs.run_to_end(q)
-    log = KeyedLog(spark, f"{base}/StreamRecs", jobs.STREAM_RECS).read()
-    return _flat_rounded(jobs.recs_from_log(log), "userId")
+    return _flat_rounded(jobs.recs_from_log(jobs.recs_log(spark, f"{base}/StreamRecs").read()), "userId")

@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Iterative jobs run hundreds of plans, whose texts the driver keeps for a while.
+    "spark.sql.maxPlanStringLength": "20000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -84,7 +84,22 @@ class KeyedLog:
     def _log(self) -> DataFrame:
         if not any(n.startswith("batch_id=") for n in files.names(self.spark, self.path)):
             return self.spark.createDataFrame([], self._full)
-        return self.spark.read.schema(self._full).parquet(self.path)
+        log = self.spark.read.schema(self._full).parquet(self.path)
+        return log.select(*self._full.fieldNames())     # without the buckets of a ``BucketedLog``
+
+    def _snapshots(self) -> list[str]:
+        """Folders that make up the newest complete snapshot."""
+        names = self._marked()
+        folded = self._folded(names)
+        return [f"{self.path}/_snapshot/{n}/bucket={b}" for b, n in folded.items()] or [f"{self.path}/_snapshot/{names[-1]}"]
+
+    def _folded(self, names: list[str]) -> dict[int, str]:
+        """Per bucket the newest of the snapshots that has it; empty where snapshots have no buckets."""
+        found: dict[int, str] = {}
+        for name in names:
+            found |= {int(n.split("=")[1]): name for n in files.names(self.spark, f"{self.path}/_snapshot/{name}")
+                      if n.startswith("bucket=")}
+        return found
 
     def _marked(self) -> list[str]:
         """Names of complete snapshots, oldest first."""
@@ -105,7 +120,7 @@ class KeyedLog:
         log = self._log()
         if m is None:
             return log
-        snap = (self.spark.read.schema(self.schema).parquet(f"{self.path}/_snapshot/{self._marked()[-1]}")
+        snap = (self.spark.read.schema(self.schema).parquet(*self._snapshots())
                 .withColumn("batch_id", F.lit(m).cast("long")))
         return snap.unionByName(log.where(F.col("batch_id") > m))
 
@@ -165,14 +180,6 @@ class BucketedLog(KeyedLog):
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id", "bucket").parquet(self.path))
 
-    def _folded(self) -> dict[int, str]:
-        """Per bucket the newest marked snapshot that has it."""
-        found: dict[int, str] = {}
-        for name in self._marked():
-            found |= {int(n.split("=")[1]): name for n in files.names(self.spark, f"{self.path}/_snapshot/{name}")
-                      if n.startswith("bucket=")}
-        return found
-
     def read(self, buckets: list[int] | None = None, before: int | None = None) -> DataFrame:
         """Rows of the log; with ``buckets`` only of these, with ``before`` only of earlier batches."""
         m = self.marker()
@@ -183,10 +190,11 @@ class BucketedLog(KeyedLog):
             log = log.where(F.col("batch_id") < before)
         if m is None:
             return log.drop("bucket")
-        wanted = {b: n for b, n in self._folded().items() if buckets is None or b in buckets}
+        wanted = {b: n for b, n in self._folded(self._marked()).items() if buckets is None or b in buckets}
         log = log.where(F.col("batch_id") > m).drop("bucket")
         if not wanted:
             return log
+        # Every compaction marks a snapshot, but one without new rows in any bucket has no folder.
         snap = self.spark.read.schema(self.schema).parquet(*[f"{self.path}/_snapshot/{n}/bucket={b}" for b, n in wanted.items()])
         return snap.withColumn("batch_id", F.lit(m).cast("long")).unionByName(log)
 

@@ -91,6 +91,32 @@ def read_products_text(spark: SparkSession, path: str) -> tuple[DataFrame, DataF
     return split_good_bad(parsed, PRODUCT.fieldNames())
 
 
-def read_ratings_text(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    parsed = parse_rating_lines(spark.read.text(path))
+def read_ratings_text(spark: SparkSession, path: str, quoted: bool = False,
+                      multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Ratings and the quarantine of a comma file; with ``quoted`` by the CSV reader, which knows quotes."""
+    parsed = parse_ratings_csv(spark, path, multi_line=multi_line) if quoted else parse_rating_lines(spark.read.text(path))
     return split_good_bad(parsed, RATING.fieldNames())
+
+
+_CSV = "f0 string, f1 string, f2 string, f3 string, more string, raw string"
+
+
+def parse_ratings_csv(spark: SparkSession, path: str, delimiter: str = ",", multi_line: bool = False) -> DataFrame:
+    """The frame of ``parse_rating_lines``, read by Spark's CSV source.
+
+    Fields may be quoted and then hold delimiters and doubled quotes; with ``multi_line`` line
+    ends too, at the price that one task reads a whole file.  The schema is bound (one column more than a rating has, as further fields are ignored) and
+    the mode permissive: a row with any other number of fields keeps what it has, and its
+    record as written in ``value``.  Of a row with exactly as many fields as the
+    schema, the record is put together again.
+    """
+    rows = (spark.read.schema(_CSV).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "raw")
+            .option("sep", delimiter).option("multiLine", multi_line).option("quote", '"').option("escape", '"')
+            .csv(path))
+    fields = ["f0", "f1", "f2", "f3"]
+    u, p, t = (F.col(c).try_cast("int") for c in ("f0", "f1", "f3"))
+    s = F.col("f2").try_cast("double")
+    written = F.coalesce("raw", F.concat_ws(delimiter, *[F.coalesce(c, F.lit("")) for c in (*fields, "more")]))
+    short = F.col("f3").isNull() & F.col("more").isNull()
+    return rows.select(written.alias("value"), u.alias("userId"), p.alias("productId"), s.alias("score"), t.alias("timestamp"),
+                       _reason(F.when(short, F.lit(3)).otherwise(F.lit(4)), 4, [u, p, s, t]).alias(REASON))

@@ -31,13 +31,16 @@ from rateflow.operators import scoring
 from rateflow.operators.topk import top_k_per_group
 from rateflow.schemas import RATING, RECOMMENDATION
 from rateflow.sources import record_log, text
-from rateflow.sources.tables import KeyedLog
+from rateflow.session import shared_dir
+from rateflow.sources.tables import BucketedLog, KeyedLog
 
 LINE_SCHEMA = "event_id bigint, value string"
 # Micro-batches between two compactions of a stream's keyed log.
 COMPACT_EVERY = 100
 # User buckets of the stored history.
 HISTORY_BUCKETS = 64
+# Product buckets of the similarity table.
+SIMILARITY_BUCKETS = 64
 
 RECENT_STATE = T.StructType([
     T.StructField("userId", T.IntegerType()),
@@ -158,12 +161,39 @@ def write_history(ratings: DataFrame, path: str, buckets: int = HISTORY_BUCKETS)
      .write.mode("overwrite").partitionBy("bucket").parquet(path))
 
 
-def _past(spark: SparkSession, history_path: str, seen: KeyedLog, users: DataFrame, batch_id: int,
+_SIM_BUCKET = "bucket_of_"
+
+
+def write_similarities(sims: DataFrame, path: str, buckets: int = SIMILARITY_BUCKETS) -> None:
+    """Similar pairs in buckets of the product, sorted by it inside, so that a micro-batch reads
+    those of its products.  The number of buckets is part of the partition column's name."""
+    (sims.select("productId", "simProductId", "sim", F.pmod(F.hash("productId"), F.lit(buckets)).alias(f"{_SIM_BUCKET}{buckets}"))
+     .repartition(buckets, f"{_SIM_BUCKET}{buckets}").sortWithinPartitions("productId")
+     .write.mode("overwrite").partitionBy(f"{_SIM_BUCKET}{buckets}").parquet(path))
+
+
+def similarities_of(spark: SparkSession, path: str, products: DataFrame) -> DataFrame:
+    """(productId, simProductId, sim) with all rows of the given products: of a table of ``write_similarities``
+    the products' buckets are read, of any other table all rows."""
+    sims = spark.read.parquet(path)
+    column = next((c for c in sims.columns if c.startswith(_SIM_BUCKET)), None)
+    if column:
+        of = F.pmod(F.hash("productId"), F.lit(int(column[len(_SIM_BUCKET):])))
+        sims = sims.where(F.col(column).isin([r[0] for r in products.select(of).distinct().collect()]))
+    return sims.select("productId", "simProductId", "sim")
+
+
+def recs_log(spark: SparkSession, path: str, buckets: int = HISTORY_BUCKETS) -> BucketedLog:
+    """The lists that ``start_stream_recs`` writes, in user buckets."""
+    return BucketedLog(spark, path, STREAM_RECS, "userId", buckets)
+
+
+def _past(spark: SparkSession, history_path: str, seen: BucketedLog, users: DataFrame, batch_id: int,
           buckets: int) -> DataFrame:
-    """Ratings of the given users, stored or from messages of earlier batches."""
+    """Ratings of the given users, stored or from messages of earlier batches, from the users' buckets."""
     wanted = [r[0] for r in users.select(_bucket(buckets)).distinct().collect()]  # at most ``buckets``
     stored = spark.read.parquet(history_path).where(F.col("bucket").isin(wanted))
-    earlier = seen.read().where(F.col("batch_id") < batch_id)
+    earlier = seen.read(seen.buckets_of(users), before=batch_id)
     return (stored.select(*RATING.fieldNames()).unionByName(earlier.select(*RATING.fieldNames()))
             .join(users, "userId", "left_semi"))
 
@@ -176,13 +206,15 @@ def start_stream_recs(spark: SparkSession, source: str, table_path: str, checkpo
                       compact_every: int = COMPACT_EVERY, buckets: int = HISTORY_BUCKETS) -> StreamingQuery:
     """Message lines (event_id, value='u|p|score|ts') -> StreamRecs table.
 
-    The similarity table and the history (``write_history``) are read anew in
-    every micro-batch, the history only in the buckets of the batch's users.
-    Messages of earlier batches count as history too: they are kept in a keyed
-    log beside the output.
+    The similarity table (``write_similarities``) and the history (``write_history``) are
+    read anew in every micro-batch, but only in the buckets of the batch's products,
+    candidates and users.  Messages of earlier batches count as history too: they are
+    kept in a log beside the output.  Both logs lie in user buckets; a compaction rewrites those
+    that have grown.
     """
-    log = KeyedLog(spark, table_path, STREAM_RECS)
-    seen = KeyedLog(spark, table_path.rstrip("/") + "_ratings", RATING)
+    shared_dir(spark)
+    log = recs_log(spark, table_path, buckets)
+    seen = BucketedLog(spark, table_path.rstrip("/") + "_ratings", RATING, "userId", buckets)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         if compact_every and batch_id and batch_id % compact_every == 0:
@@ -196,7 +228,8 @@ def start_stream_recs(spark: SparkSession, source: str, table_path: str, checkpo
             bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
             users = good.select("userId").distinct()
             past = _past(spark, history_path, seen, users, batch_id, buckets)
-            recs = scoring.message_recs(good, spark.read.parquet(sims_path), past, scoring.recent_ratings(past))
+            cand = scoring.candidates(good, similarities_of(spark, sims_path, good), past).checkpoint()
+            recs = scoring.scored_recs(good, cand, similarities_of(spark, sims_path, cand), scoring.recent_ratings(past))
             log.append(latest_recs(recs), batch_id)
             seen.append(good, batch_id)
         finally:

@@ -98,7 +98,7 @@ def test_buckets_fold_on_their_own(spark):
     log.append(rows((1, 2, 2.0)), 1)
     log.compact(fold, 1)
     bucket = {r.userId: r.b for r in rows((1, 0, 0.0), (2, 0, 0.0), (3, 0, 0.0), (4, 0, 0.0), (5, 0, 0.0)).withColumn("b", log.bucket()).collect()}
-    names = log._folded()
+    names = log._folded(log._marked())
     newest = max(names.values())
     assert names[bucket[1]] == newest and any(n < newest for n in names.values())   # the others were left alone
     got = lambda: {(r.userId, r.productId) for r in fold(log.read()).collect()}
