@@ -44,14 +44,17 @@ def content_based(spark: SparkSession, base: str, k: int | None = None) -> None:
 
 
 def factors(spark: SparkSession, base: str, k: int | None = None, **model) -> None:
-    """Fit the factor model -> UserRecs, ProductRecs and the stream's Similarity table.
+    """Fit the factor model -> UserRecs, ProductRecs, the Similarity table and its form in product
+    buckets, SimilarityByProduct, that the stream reads by key.
 
     ``model`` holds rank, max_iter, reg and seed; ``k`` limits the product lists.
     """
     fitted = als.fit(tables.read_ratings(spark, f"{base}/Rating"), **model)
     tables.write_table(_typed(als.user_recs(fitted), USER_RECS), f"{base}/UserRecs")
-    write_similarities(_typed(als.similarity_table(als.product_recs(fitted, k=k)), SIMILARITY), f"{base}/Similarity")
-    similar = tables.read_table(spark, f"{base}/Similarity", SIMILARITY).withColumnRenamed("sim", "score")
+    tables.write_table(_typed(als.similarity_table(als.product_recs(fitted, k=k)), SIMILARITY), f"{base}/Similarity")
+    stored = tables.read_table(spark, f"{base}/Similarity", SIMILARITY)
+    write_similarities(stored, f"{base}/SimilarityByProduct")
+    similar = stored.withColumnRenamed("sim", "score")
     ranked = als.rank_within(similar, ["productId"], [als.rank_key("score").desc(), "simProductId"])
     tables.write_table(_typed(nest(ranked, "productId"), PRODUCT_RECS), f"{base}/ProductRecs")
 
