@@ -8,7 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from rateflow.session import shared_dir
+from rateflow.session import scratch_path, shared_dir
+from rateflow.sources import files
 
 # Words are runs of anything but ASCII white space (the blank and \t \n \v \f \r).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -85,6 +86,26 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table of its own in the shared folder, read from there.
+
+    As ``settled``, for chains of many joins: a checkpoint hands on its plan's size estimate,
+    the product of what was joined, and over many rounds that number alone fills the
+    driver's memory.  A table's size is known from its files.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing reads any more."""
+    for df in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            files.remove(df.sparkSession, folder)
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; null counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -4,39 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rateflow.llm.common import settled
+from rateflow.llm.common import remove, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step over edges (a, b) with a > b.
+    """One star step over edges (a, b) with a > b, written.
 
     The large star links every larger neighbour of a node to the node's smallest
     neighbour; the small star links the node and its smaller neighbours to it.  The
-    smallest neighbour is aggregated, settled and joined back, so that Spark can split
+    smallest neighbour is aggregated, written and joined back, so that Spark can split
     the partition of a node with very many neighbours.
     """
     if large:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = settled(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m")))
+        least = written(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m")))
         linked = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        least = settled(edges.groupBy("a").agg(F.min("b").alias("m")))
+        least = written(edges.groupBy("a").agg(F.min("b").alias("m")))
         linked = edges.join(least, "a").select(
             F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b")).where("a <> b")
-    return linked.distinct()
+    result = written(linked.distinct())
+    remove(least, edges)
+    return result
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every linked node but the roots; a root is its component's least node.
 
-    Each round is written to the shared checkpoint folder; only its row count and a
-    checksum reach the driver.
+    Each step is written to the shared folder, and the tables before it are deleted; only a
+    row count and a checksum reach the driver.
     """
-    edges = settled(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                     .where("a <> b").distinct())
     before = None
     while True:
-        edges = settled(_star(settled(_star(edges, large=True)), large=False))
+        edges = _star(_star(edges, large=True), large=False)
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -8,9 +8,10 @@ many.  Documents that share a sketch form a bucket.  Each is compared with the
 bucket's head, the document that shares most sketches with others; a bucket whose
 other documents are of one class is then done.  What is
 left meets pair by pair: all pairs of a bucket and of different classes are compared,
-but for those that their lengths or word histograms show to be unlike.  So no pair
-with a common sketch is left out, and a large group of copies costs one pair per
-member, while a passage shared by many unlike documents costs histograms only.
+but for those that their lengths or word histograms show to be unlike, and a few pairs per
+two classes first, as one link joins them.  So no pair with a common sketch is left out
+unless its classes are one already; a large group of copies costs a few pairs per
+member, and a passage shared by many unlike documents costs histograms only.
 
 A pair is linked if the edit similarity of its words, 1 - distance / longer length,
 is at least 0.8, found exactly by alignment within the band that this allows.
@@ -29,7 +30,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from rateflow.llm.common import bucket_of, code_points, find_words, settled, small_batches, word_codes
+from rateflow.llm.common import bucket_of, code_points, find_words, small_batches, word_codes, written
 from rateflow.llm.components import components
 
 KMER = 5
@@ -40,6 +41,7 @@ NO_ID = (1 << 63) - 1
 CELLS = 1 << 15      # cells of one row of a batch of alignments
 BLOCK = 512          # members of a bucket that meet as one block
 CELLS_OF_WORDS = 128
+FIRST_PAIRS = (1, 16)    # so many candidate pairs of two classes and blocks are compared before all are
 
 _rng = np.random.default_rng(20)
 _XOR = _rng.integers(0, 1 << 63, SKETCHES, dtype=np.uint64)[:, None]
@@ -227,38 +229,55 @@ def _verified(pairs: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame) -> DataFrame:
     """(a, b): linked nodes of rows (node, id, text)."""
-    sketches = settled(_sketches(docs))
+    sketches = written(_sketches(docs))
     first = docs.groupBy("node").agg(F.min("id").alias("id"))
     rows = sketches.select("node", F.explode(F.array_distinct("keys")).alias("key")).distinct()
     # Buckets of one node are dropped before anything is compared.
-    size = settled(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    rows = settled(rows.join(size, "key"))
+    size = written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    rows = written(rows.join(size, "key"))
     weight = rows.groupBy("node").agg(F.sum("n").alias("weight"))
-    rows = settled(rows.select("node", "key").join(weight, "node"))
-    head = settled(rows.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("h")).select("key", F.col("h.node").alias("b")))
-    members = settled(rows.join(head, "key").where("node <> b").select("node", "key", "b"))
+    rows = written(rows.select("node", "key").join(weight, "node"))
+    head = written(rows.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("h")).select("key", F.col("h.node").alias("b")))
+    members = written(rows.join(head, "key").where("node <> b").select("node", "key", "b"))
     pairs = members.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
     alike_1, unlike = _compare(pairs, docs, first)
-    roots = components(alike_1)
-    # A head has met its whole bucket; a bucket of one class has nothing left to link.
-    rest = settled(members.select("node", "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    open_keys = settled(rest.groupBy("key").agg(F.min("root").alias("y"), F.max("root").alias("z"), F.count(F.lit(1)).alias("n"))
-                        .where("y < z").select("key", "n"))
-    again = _open_pairs(settled(rest.join(open_keys, "key")), sketches)
-    alike_2, _ = _compare(again.join(alike_1.union(unlike), ["a", "b"], "left_anti"), docs, first)
-    return alike_1.union(alike_2)
-
-
-def _open_pairs(rows: DataFrame, sketches: DataFrame) -> DataFrame:
-    """All pairs of one bucket and different classes that may be alike, for rows (node, key, root, n).
+    linked, tested, roots = alike_1, alike_1.union(unlike), components(alike_1)
+    for most in (*FIRST_PAIRS, None):
+        # A bucket of one class has nothing left to link.
+        rest = written(members.select("node", "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+        open_keys = written(rest.groupBy("key").agg(F.min("root").alias("y"), F.max("root").alias("z"), F.count(F.lit(1)).alias("n"))
+                            .where("y < z").select("key", "n"))
+        again = written(_open_pairs(written(rest.join(open_keys, "key")), sketches, most).join(tested, ["a", "b"], "left_anti"))
+        if not again.isEmpty():
+            alike, unlike = _compare(again, docs, first)
+            linked, tested = linked.union(alike), tested.union(alike).union(unlike)
+            if most is not None:
+                roots = components(linked)
+    return linked
+
+
+def _first_of(x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
+    """The places of the first ``most`` of each pair of values, in either order."""
+    low, high = np.minimum(x, y), np.maximum(x, y)
+    order = np.lexsort((high, low))
+    new = np.concatenate(([True], (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])))
+    starts = np.flatnonzero(new)
+    rank = np.arange(len(order)) - starts[np.cumsum(new) - 1]
+    return np.sort(order[rank < most])
+
+
+def _open_pairs(rows: DataFrame, sketches: DataFrame, most: int | None) -> DataFrame:
+    """Pairs of one bucket and different classes that may be alike, for rows (node, key, root, n).
 
     Buckets are cut into blocks that meet each other; two documents of very different
     length, or with too few words in common by their histograms, are surely unlike.
+    Of two classes, ``most`` pairs per two blocks come at most, or all without it: one link
+    joins two classes, however many candidates lie between them.
     """
     dealt = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn(
         "block", bucket_of(F.col("blocks"), F.lit(3), "node").cast("int"))
     member = F.struct("node", "root", "length", "histogram")
-    blocks = settled(dealt.join(sketches.select("node", "length", "histogram"), "node")
+    blocks = written(dealt.join(sketches.select("node", "length", "histogram"), "node")
                      .groupBy("key", "blocks", "block").agg(F.collect_list(member).alias("m")))
     left = blocks.select("key", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), F.col("m").alias("x"))
     right = blocks.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"), F.col("m").alias("y"))
@@ -270,6 +289,7 @@ def _open_pairs(rows: DataFrame, sketches: DataFrame) -> DataFrame:
         for batch in batches:
             found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for r in batch.to_pylist():
+                cell: list[list[np.ndarray]] = [[], [], [], []]
                 sides = []
                 for s in "xy":
                     sides.append([np.array(r[f"{s}_{c}"], np.int64) for c in ("node", "root", "length")]
@@ -285,8 +305,14 @@ def _open_pairs(rows: DataFrame, sketches: DataFrame) -> DataFrame:
                     common = np.minimum(others[at], words[k]).sum(1, dtype=np.int64)
                     longer = longer[at]
                     at = at[(longer - common <= longer // MOST_EDITS) | (longer > 65535)]
-                    found_a.append(np.maximum(nodes[at], node[k]))
-                    found_b.append(np.minimum(nodes[at], node[k]))
+                    for part, values in zip(cell, (np.full(len(at), node[k]), nodes[at], np.full(len(at), root[k]), roots[at])):
+                        part.append(values)
+                x, y, of_x, of_y = (np.concatenate(part) for part in cell)
+                if most is not None and len(x):
+                    kept = _first_of(of_x, of_y, most)
+                    x, y = x[kept], y[kept]
+                found_a.append(np.maximum(x, y))
+                found_b.append(np.minimum(x, y))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], names=["a", "b"])
 
     return cells.mapInArrow(run, "a long, b long").distinct()
@@ -300,7 +326,7 @@ def _compare(pairs: DataFrame, docs: DataFrame, first: DataFrame) -> tuple[DataF
     texts = docs.join(needed, ["node", "id"]).select("node", "text")
     with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     with_b = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    checked = settled(_verified(with_b))
+    checked = written(_verified(with_b))
     return checked.where("alike").select("a", "b"), checked.where("NOT alike").select("a", "b")
 
 
@@ -318,7 +344,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     # A hot class must not be one task's rows: what is joined to each row is settled
     # first, and Spark splits the large partitions of such a join.
     known = rows.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    per_class = settled(known.groupBy("root").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("class_size")))
+    per_class = written(known.groupBy("root").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("class_size")))
     none = F.lit(None).cast("long")
     return (known.join(per_class, "root")
             .select(F.when(F.col("id") != NO_ID, F.col("id")).otherwise(none).alias("doc_id"), "node", "root",
