@@ -8,7 +8,8 @@ inclusion probabilities moves through the null space of the balancing constraint
 are left in a source; these are landed by the rounding that misses the totals least.
 
 In Spark the flight runs per (source, block): blocks hold some thousand documents,
-dealt by a hash of the id, so a source with a third of all rows is many blocks.
+dealt by a hash of the row and its number among equal ones, so a source, or a row, with
+a third of all rows is many blocks.
 What a block cannot settle (two documents) flies on in the next level, where a
 thousand blocks meet, up to one last block per source that lands.
 
@@ -37,7 +38,8 @@ MERGE = 1024     # blocks whose rest flies together at the next level
 LANDING = 12     # documents of a source whose rounding is searched at the end
 SALTS = 64       # a hot source's rows meet its target in so many tasks
 SEED = 11
-_DRAW = "row long, doc_id long, source string, size long, source_size long, target double, block long, last boolean, p double, copies long"
+EQUALS = 1024    # equal rows are counted and dealt again in groups of so many
+_DRAW = "row long, doc_id long, no_id boolean, source string, size long, source_size long, target double, block long, last boolean, p double, copies long"
 
 
 def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -123,7 +125,7 @@ def _level(level: int, seed: int):
     """Flight of one block; a source's only block also lands."""
     def run(block: pd.DataFrame) -> pd.DataFrame:
         # Large documents last: the roundings of these few reach almost any word total.
-        block = block.sort_values(["size", "row", "doc_id"], kind="stable", na_position="last")
+        block = block.sort_values(["size", "row", "no_id", "doc_id"], kind="stable")
         source = block["source"].iloc[0]
         key = f"{seed}/{level}/{source is None}/{source}/{block['block'].iloc[0]}"
         rng = np.random.default_rng(zlib.crc32(key.encode()))
@@ -156,13 +158,25 @@ def draw(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
     # Every source's target row is copied to each salt, so that a hot source's
     # documents meet it in many tasks.
     salted = targets.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    left = sized.withColumn("salt", bucket_of(SALTS, F.lit(3), "row").cast("int")).alias("d")
+    # Equal rows are counted before the shuffle and dealt again by their number, so that they
+    # spread over the blocks, the same way on every run.  A null id travels as a flag, as it would
+    # make pandas round the ids beside it.
+    counted = (sized.select("row", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "source", "size")
+               .groupBy("row", "doc_id", "no_id", "source", "size").agg(F.count(F.lit(1)).alias("equals")))
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("equals") - 1) / EQUALS)))
+    left = (counted.withColumn("part", part)
+            .withColumn("salt", bucket_of(SALTS, F.lit(3), "row", "part").cast("int")).alias("d"))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    whole = F.floor(ratio + 1e-9)
+    whole = F.floor(F.col("ratio") + 1e-9)
+    blocks = F.ceil(F.col("documents") / BLOCK)
     rows = (left.join(salted.alias("t"), (F.col("d.salt") == F.col("t.salt")) & F.col("d.source").eqNullSafe(F.col("t.source")))
-            .select("d.row", "d.doc_id", "d.source", "d.size", "t.source_size", "t.target",
-                    bucket_of(F.ceil(F.col("t.documents") / BLOCK), F.lit(5), F.col("d.row")).alias("block"),
-                    (F.col("t.documents") <= BLOCK).alias("last"), F.greatest(ratio - whole, F.lit(0.0)).alias("p"), whole.cast("long").alias("copies"))
+            .select("d.row", "d.doc_id", "d.no_id", "d.source", "d.size", "t.source_size", "t.target", "t.documents", ratio.alias("ratio"),
+                    F.explode(F.sequence(F.col("d.part") * EQUALS + 1, F.least("d.equals", (F.col("d.part") + 1) * EQUALS))).alias("nth"))
+            .select("row", "doc_id", "no_id", "source", "size", "source_size", "target",
+                    F.when(F.col("nth") == 1, bucket_of(blocks, F.lit(5), "row")).otherwise(
+                        bucket_of(blocks, F.lit(5), "row", "nth")).alias("block"),
+                    (F.col("documents") <= BLOCK).alias("last"),
+                    F.greatest(F.col("ratio") - whole, F.lit(0.0)).alias("p"), whole.cast("long").alias("copies"))
             .withColumn("p", F.when(F.col("p") < 1e-9, 0.0).otherwise(F.col("p"))))
     done, level = [], 0
     while True:
@@ -178,7 +192,7 @@ def draw(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.select("row", "doc_id", "source", "size", "source_size", "target", "copies",
+    return out.select("row", F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "source", "size", "source_size", "target", "copies",
                       (F.col("copies") * F.col("size")).alias("taken"))
 
 

@@ -39,6 +39,9 @@ GROUP = 16384         # pieces packed together
 STEP_TOKENS = 1 << 16  # tokens of one step group
 MAX_CHUNKS = 400_000  # distinct chunks a task remembers before it starts afresh
 VOCABULARY = "byte_bpe_50k.tiktoken"
+# Fixed value: the vocabulary's only added token, which the json cuts out of texts first.
+ADDED_TOKEN, ADDED_ID = "<|endoftext|>", 50256
+_ADDED_IDS = np.array([ADDED_ID], "<u4").tobytes()
 SEQUENCE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, window int, step_group long"
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -58,7 +61,8 @@ class Encoder:
     """Texts to packed 32-bit ids, remembering the ids of chunks it has seen.
 
     The rank file holds the same vocabulary as ``byte_bpe_50k.json`` and gives the
-    same ids; it is read several times faster.  Special tokens' strings are text.
+    same ids; it is read several times faster.  Like there, the added token's string is one
+    token wherever it stands in a text.
     """
 
     def __init__(self, path: str):
@@ -79,6 +83,11 @@ class Encoder:
 
     def __call__(self, text: str | None) -> bytes:
         text = text or ""
+        if ADDED_TOKEN in text:
+            return _ADDED_IDS.join([self._plain(part) for part in text.split(ADDED_TOKEN)])
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if _rare_space(text):
             return np.array(self.encode(text), "<u4").tobytes()
         get, new = self.seen.get, self._new
@@ -199,7 +208,7 @@ def step_groups(windows: list[int], step_tokens: int = STEP_TOKENS) -> list[int]
 
 def _pack(group: pd.DataFrame) -> pd.DataFrame:
     key = int(group["bucket"].iloc[0])
-    group = group.sort_values(["doc_id", "start", "ids_crc32"], kind="stable", na_position="last")
+    group = group.sort_values(["no_id", "doc_id", "start", "ids_crc32"], kind="stable")
     at = pack_lengths(group["length"].tolist())
     total: dict[int, int] = {}
     for (w, _), n in zip(at, group["length"].tolist()):
@@ -227,4 +236,8 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary
     # it is stable, as it is read from the written pieces.
     dealt = (cut.withColumn("nr", F.monotonically_increasing_id())
              .withColumn("bucket", bucket_of(n, F.lit(9), "doc_id", "start", "nr")).drop("nr"))
-    return dealt.groupBy("bucket").applyInPandas(_pack, SEQUENCE)
+    # A null among longs would make pandas round them all, so it travels as a flag.
+    no_id = F.col("doc_id").isNull()
+    packed = (dealt.withColumn("no_id", no_id).withColumn("doc_id", F.coalesce("doc_id", F.lit(0)))
+              .groupBy("bucket").applyInPandas(_pack, f"{SEQUENCE}, no_id boolean"))
+    return packed.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")

@@ -12,8 +12,9 @@ a join, and only the k best per query and block leave a task.  Each query first
 passes through one block alone, whose k-th score is where it starts in all others.
 
 Edge cases: vectors that are null, empty, or hold null or non-finite components take
-no part, nor do those with a scaled component of 2^26 or more, whose scores would
-leave 64 bits; only vectors of the query's length are candidates; rows with the
+no part, nor do those with a scaled component of 2^62 or more, which no score in 64 bits
+could come from; scores are exact whole numbers, those outside 64 bits count as that bound;
+only vectors of the query's length are candidates; rows with the
 query's vec_id are its own; a repeated query id asks once, for its least vector;
 repeated candidate rows each count; ties go to the smaller vec_id; an empty table
 gives an empty result; further columns are not read.
@@ -27,7 +28,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from rateflow.llm.common import bucket_of, settled, small_batches
 
 SCALE = 256
-LIMIT = 1 << 26
+LIMIT = 1 << 62
+LONGEST = (1 << 63) - 1
 PIVOTS = 24
 PIVOT_SAMPLE = 2000     # vectors that pivots are chosen from; only bounds depend on them
 CANDIDATE_BLOCK = 4096
@@ -43,7 +45,7 @@ def scaled(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding"
               & ~F.exists(x, lambda c: c.isNull() | F.isnan(c.cast("double")) | (F.abs(c.cast("double") * SCALE) >= LIMIT)))
     return (vectors.where(F.coalesce(usable, F.lit(False)) & F.col(vec_id).isNotNull())
             .select(F.col(vec_id).cast("long").alias("vec_id"),
-                    F.transform(x, lambda c: F.floor(c.cast("double") * SCALE).cast("int")).alias("v")))
+                    F.transform(x, lambda c: F.floor(c.cast("double") * SCALE).cast("long")).alias("v")))
 
 
 def choose_pivots(sample: list[list[int]], count: int = PIVOTS) -> np.ndarray:
@@ -66,11 +68,12 @@ def _packed(rows: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
         import pandas as pd
         dim = int(block["dim"].iloc[0])
         block = block.sort_values("vec_id", kind="stable")
-        v = np.array(block["v"].tolist(), np.int32).reshape(len(block), dim)
+        v = np.array(block["v"].tolist(), np.int64).reshape(len(block), dim)
+        short = v.astype(np.int32) if np.abs(v).max() < 1 << 31 else v
         p = pivots[dim]
         distances = np.sqrt(np.stack([((v - q) ** 2).sum(1) for q in p], axis=1)).astype(np.float64)
         return pd.DataFrame([{"block": int(block["block"].iloc[0]), "ids": block["vec_id"].tolist(), "dim": dim,
-                              "flat": v.tobytes(), "table": distances.tobytes()}])
+                              "flat": short.tobytes(), "table": distances.tobytes()}])
 
     return rows.groupBy("block", "dim").applyInPandas(run, _BLOCK)
 
@@ -83,11 +86,17 @@ def eliminate(queries, candidates, k: int, start: list[int | None]) -> list[list
     """
     q_ids, q, q_table = queries
     ids, c, table = candidates
-    q_norm, norm = (q * q).sum(1), (c * c).sum(1)
-    # Scores are whole numbers; the shortest type that holds them all exactly is fastest.
+    q_norm, norm = (q.astype(float) ** 2).sum(1), (c.astype(float) ** 2).sum(1)
+    # Scores are whole numbers; the shortest type that holds them all exactly is fastest,
+    # and Python's own where none does.
     largest = float(np.abs(c).max(initial=0)) * float(np.abs(q).max(initial=0)) * c.shape[1]
-    kind = np.float32 if largest < 2 ** 24 else np.float64 if largest < 2 ** 52 else np.int64
+    kind = np.float32 if largest < 2 ** 24 else np.float64 if largest < 2 ** 52 else np.int64 if largest < 2 ** 62 else object
     cc, qq = c.astype(kind), q.astype(kind)
+
+    def dots(rows: np.ndarray, i: int) -> np.ndarray:
+        s = cc[rows] @ qq[i]
+        return s.astype(np.int64) if kind is not object else np.array([max(-LONGEST, min(LONGEST, x)) for x in s.tolist()], np.int64)
+
     columns, rows = np.ascontiguousarray(table.T, np.float32), q_table.astype(np.float32)
     # Rounding of distances must never lower an upper bound.
     slack = float(max(table.max(initial=0), q_table.max(initial=0))) * 2.0 ** -20
@@ -107,7 +116,7 @@ def eliminate(queries, candidates, k: int, start: list[int | None]) -> list[list
         least, at, step = start[i], 0, 256
         while at < len(order) and (least is None or upper[order[at]] >= least):
             chunk = order[at:at + step]
-            new = (cc[chunk] @ qq[i]).astype(np.int64)
+            new = dots(chunk, i)
             if least is not None:
                 chunk, new = chunk[new >= least], new[new >= least]
             scores, found = np.concatenate([scores, new]), np.concatenate([found, ids[chunk]])
@@ -123,7 +132,8 @@ def eliminate(queries, candidates, k: int, start: list[int | None]) -> list[list
 
 def _unpack(ids, dim, flat, table):
     n = len(ids)
-    return (np.array(ids, np.int64), np.frombuffer(flat, np.int32).reshape(n, dim).astype(np.int64),
+    kind = np.int64 if len(flat) == 8 * n * dim else np.int32
+    return (np.array(ids, np.int64), np.frombuffer(flat, kind).reshape(n, dim).astype(np.int64),
             np.frombuffer(table, np.float64).reshape(n, -1))
 
 

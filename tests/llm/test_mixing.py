@@ -83,3 +83,21 @@ def test_awkward_rows(spark):
     assert len(got) == len(rows) + 1
     assert all(r.taken == 0 for r in got if r.size == 0)
     assert m.mix(docs(spark, [])).collect() == []
+
+
+def test_equal_rows_spread_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(m, "EQUALS", 100)
+    sizes = []
+    monkeypatch.setattr(m, "settled", lambda df: sizes.append(max(r["count"] for r in df.groupBy("source", "block").count().collect())) or df.checkpoint())
+    rows = [(7, "one and the same text", "a")] * 20_000 + [(n, f"text number {n} of another source", "b") for n in range(100)]
+    got = m.mix(docs(spark, rows)).collect()
+    assert len(got) == len(rows) and sizes[0] < 1.1 * m.BLOCK
+    taken = {s: sum(r.taken for r in got if r.source == s) for s in "ab"}
+    target = {r.source: r.target for r in got}
+    assert all(abs(taken[s] - target[s]) <= 0.01 * target[s] + 10 for s in "ab")
+
+
+def test_large_ids_beside_nulls(spark):
+    rows = [(2 ** 53 + 1, "one two", "a"), (None, "three", "a"), (-2 ** 62 - 1, "four five six", "a"), (0, "seven", "a")]
+    got = m.mix(docs(spark, rows)).collect()
+    assert {(r.doc_id, r.size) for r in got} == {(2 ** 53 + 1, 2), (None, 1), (-2 ** 62 - 1, 3), (0, 1)}

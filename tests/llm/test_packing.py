@@ -12,7 +12,6 @@ from rateflow.llm import packing as p
 from tokenizers import Tokenizer
 
 reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-reference.encode_special_tokens = True
 encoder = p.Encoder(p.vocabulary_path())
 
 
@@ -26,8 +25,17 @@ def test_ids_equal_the_tokenizer(text):
     assert np.frombuffer(encoder(text), "<u4").tolist() == slow(text)
 
 
-def test_special_strings_are_text():
-    assert np.frombuffer(encoder("a <|endoftext|> b"), "<u4").tolist() == slow("a <|endoftext|> b")
+def test_the_added_token_is_cut_out_as_the_json_says():
+    assert np.frombuffer(encoder("a <|endoftext|> b"), "<u4").tolist() == slow("a <|endoftext|> b") == [64, 220, 50256, 275]
+    for text in ("<|endoftext|>", "a<|endoftext|><|endoftext|>  b", " <|endoftext|>\n", "<|endoftext|", "x<|endoftext|>\x85é"):
+        assert np.frombuffer(encoder(text), "<u4").tolist() == slow(text)
+
+
+def test_large_ids_beside_nulls(spark):
+    rows = [(2 ** 53 + 1, "one two"), (None, "three"), (-2 ** 62 - 1, "four five six")]
+    got = p.pack(docs(spark, rows)).collect()
+    assert {r.doc_id for r in got} == {r[0] for r in rows}
+    check(rows, got)
 
 
 def check(rows, got):

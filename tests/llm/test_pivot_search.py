@@ -55,6 +55,13 @@ def test_large_components_stay_exact(spark):
     assert found(spark, rows, k=7) == brute(rows, 7)
 
 
+def test_huge_components_beside_small_ones(spark):
+    rng = random.Random(9)
+    rows = [(i, [half(rng.gauss(0, 0.3)) for _ in range(3)]) for i in range(110)]
+    rows += [(200 + i, [3.0e5 + i, 1.0, -2.0 ** (i + 18)]) for i in range(8)] + [(300, [2.0 ** 21, 5.0, 0.5]), (301, [-2.0 ** 30, 1.0, 2.0 ** 15])]
+    assert found(spark, rows) == brute(rows)
+
+
 def test_bounds_stop_early():
     import numpy as np
     rng = np.random.default_rng(1)
