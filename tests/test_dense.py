@@ -69,3 +69,15 @@ def test_awkward_vectors(spark):
     for a, b in ((u.where(F.lit(False)), v), (u, v.where(F.lit(False)))):
         empty = top_by_norm(a, b, 2, "userId", "productId")
         assert empty.columns == ["userId", "rank", "productId", "score"] and empty.collect() == []
+
+
+def test_a_task_ships_k_rows_per_vector_and_few_copies(spark):
+    from rateflow.operators.dense import block_size_for
+    rng = np.random.default_rng(12)
+    u, v = rng.normal(size=(90, 4)), rng.normal(size=(400, 4))
+    got = best_per_block(_frame(spark, u, "userId"), _frame(spark, v, "productId"), 5, "userId", "productId", block_size=16).toPandas()
+    cells = -(-spark.sparkContext.defaultParallelism * 4 // 6)
+    assert got.groupby("userId").size().max() <= 5 * cells < 5 * 25      # of 25 right blocks
+    assert {i: set(x) for i, x in got.groupby("userId")["productId"]}.keys() == set(range(90))
+    many = spark.range(200_000).select(F.array(F.lit(1.0), F.lit(2.0)).alias("features"))
+    assert 200_000 / block_size_for(many, 8) <= 8
