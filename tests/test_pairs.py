@@ -83,3 +83,18 @@ def test_mirrored_half_equals_full_self_join(spark, rows):
     got = {(x.product1, x.product2): (x.cocount, x.count1, x.count2)
            for x in itemcf.cooccurrence(r).collect()}
     assert got == {k: (v, n[k[0]], n[k[1]]) for k, v in full.items()}
+
+
+def test_top_neighbours_without_the_pairs_of_hot_users(spark):
+    import random
+
+    from rateflow.operators import itemcf
+    rnd = random.Random(5)
+    rows = [(0, p, 3.0) for p in range(60)] + [(1, p, 3.0) for p in range(0, 60, 2)] + [(1, 4, 1.0), (None, 3, 1.0), (2, None, 1.0), (0, None, 2.0)]
+    rows += [(rnd.randrange(3, 30), rnd.randrange(70), 1.0) for _ in range(250)]
+    r = spark.createDataFrame(rows, "userId int, productId int, score double")
+    for dedup in (False, True):
+        want = itemcf.neighbours_of(itemcf.similarity(r, dedup).where("product1 <> product2"), 7).collect()
+        got = itemcf.top_neighbours(r, 7, dedup, hot_items=25)
+        key = lambda x: (x.productId, x["rank"], x.simProductId, round(x.score, 9))
+        assert sorted(map(key, got.collect())) == sorted(map(key, want))
