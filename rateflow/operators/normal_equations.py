@@ -4,8 +4,8 @@ With one side's factors fixed, each id of the other side has its own ridge probl
 
     (sum over its ratings of f f' + reg * n * I) x = sum over its ratings of score * f
 
-The left and right sides are plain sums per id over ratings joined with factors, so Spark
-combines them in the map tasks: an id with a third of all ratings sends one row per
+The left and right sides are plain sums per id over ratings joined with factors, dealt by id
+first and combined before they are shuffled: an id with a third of all ratings sends one row per
 task.  The small systems are then solved in Arrow batches, many at once.  The weight of
 the ridge grows with the id's ratings, as in the library's own solver, so one step here
 reproduces what that solver did last; it checks a fitted model, folds in new users without
@@ -43,7 +43,11 @@ def equations(ratings: DataFrame, factors: DataFrame, own: str, other: str, rank
     f = factors.select(F.col(other).alias("_o"), *[F.col("features")[i].cast("double").alias(f"_f{i}") for i in range(rank)])
     r = ratings.select(F.col(own).alias("_i"), F.col(other).alias("_o"), F.col(score).cast("double").alias("_s")).dropna()
     pairs = _upper(rank)
-    sums = r.join(f, "_o").groupBy("_i").agg(
+    # Rows of a rating and a vector are shorter than partial sums: they are shuffled by id, so that
+    # each task combines whole ids.  The extra column is not the grouped one, so the sums
+    # meet once more, and Spark may deal a hot id over several tasks.
+    rows = r.join(f, "_o").drop("_o").withColumn("_part", F.pmod(F.hash("_i"), F.lit(1 << 16))).hint("rebalance", "_part")
+    sums = rows.groupBy("_i").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(F.col(f"_f{i}") * F.col(f"_f{j}")).alias(f"_a{i}_{j}") for i, j in pairs],
         *[F.sum(F.col("_s") * F.col(f"_f{i}")).alias(f"_b{i}") for i in range(rank)])
@@ -171,7 +175,8 @@ def holdout_grid(train: DataFrame, test: DataFrame, items: DataFrame, ranks, reg
 
     users = sums.mapInArrow(run, f"userId {kind}, _x array<double>")
     v = items.select("productId", *[F.col("features")[i].alias(f"_v{i}") for i in range(top)])
-    rows = test.select("userId", "productId", "score").join(users, "userId").join(v, "productId")
+    # Users' solutions are long, so held-out ratings meet the items first.
+    rows = test.select("userId", "productId", "score").join(v, "productId").drop("productId").join(users, "userId")
 
     def error(at: int) -> Column:
         dot = sum((F.col("_x")[at * top + i] * F.col(f"_v{i}") for i in range(1, points[at][0])),

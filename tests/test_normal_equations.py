@@ -116,3 +116,26 @@ def test_grid_equals_separate_points(spark):
         x = _brute(train, cut, 0, reg)
         want = np.sqrt(np.mean([(s - x[u] @ cut[p]) ** 2 for u, p, s in test if u in x]))
         assert rmse == pytest.approx(want, rel=1e-9)
+
+
+def test_rows_are_dealt_by_id_before_they_are_summed(spark):
+    rows = spark.range(3000).select((F.col("id") % 500).cast("int").alias("userId"), (F.col("id") % 40).cast("int").alias("productId"),
+                                    F.lit(2.0).alias("score")).repartition(20)
+    f = spark.range(40).select(F.col("id").cast("int").alias("productId"), F.array(F.lit(1.0), F.col("id") / 40).alias("features"))
+    plan = ne.equations(rows, f, "userId", "productId", 2)._jdf.queryExecution().executedPlan().toString()
+    # From the top: final sums, a shuffle, partial sums, rows dealt by id, the join.
+    final, shuffled, partial, dealt, joined = (plan.index(x) for x in ("functions=[count", "Exchange hashpartitioning(_i", "partial_sum", "REBALANCE", "Join"))
+    assert final < shuffled < partial < dealt < joined
+
+
+def test_held_out_ratings_meet_the_items_before_the_long_solutions(spark):
+    r, rows, v = _planted(spark, users=30, items=20)
+    f = spark.createDataFrame([(j, x.tolist()) for j, x in enumerate(v)], VECTORS)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ne.holdout_grid(r, r, f, (1, 3), (0.1,))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert "userId" in joins[0] and "productId" in joins[1]
