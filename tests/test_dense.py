@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rateflow.operators.dense import best_per_block, top_by_norm
+from rateflow.operators.dense import best_per_block, ranked_above, top_by_norm
 
 
 def _frame(spark, x, key):
@@ -81,3 +81,35 @@ def test_a_task_ships_k_rows_per_vector_and_few_copies(spark):
     assert {i: set(x) for i, x in got.groupby("userId")["productId"]}.keys() == set(range(90))
     many = spark.range(200_000).select(F.array(F.lit(1.0), F.lit(2.0)).alias("features"))
     assert 200_000 / block_size_for(many, 8) <= 8
+
+
+def test_whole_lists_are_ranked_where_they_are_scored(spark):
+    rng = np.random.default_rng(21)
+    x = rng.normal(size=(150, 4))
+    x[9] = 3 * x[4]       # ties
+    x[20] = 0             # no direction
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "productId int, features array<double>")
+    unit = x / np.where(np.linalg.norm(x, axis=1) > 0, np.linalg.norm(x, axis=1), 1)[:, None]
+    near = np.round(unit @ unit.T, 9)
+    want = []
+    for i in range(150):
+        best = [int(j) for j in np.lexsort((np.arange(150), -near[i])) if j != i and near[i, j] > 0.2]
+        want += [(i, r + 1, j) for r, j in enumerate(best)]
+    for held in (1, 1000, 1 << 20):      # one vector's scores at least
+        lists = ranked_above(df, 0.2, "productId", "other", held=held)
+        got = lists.collect()
+        assert lists.columns == ["productId", "other", "score", "rank"]
+        assert sorted((r.productId, r["rank"], r.other) for r in got) == want
+        assert max(abs(r.score - unit[r.productId] @ unit[r.other]) for r in got) < 1e-12
+    # No pair is sorted or shuffled by Spark after it was scored.
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.index("MapInPandas") < plan.index("Exchange")
+    assert ranked_above(df.limit(0), 0.2, "productId", "other").collect() == []
+
+
+def test_whole_product_lists_have_no_window(spark, monkeypatch):
+    from rateflow.operators import als
+    rng = np.random.default_rng(22)
+    items = spark.createDataFrame([(i, rng.normal(size=3).tolist()) for i in range(20)], "productId int, features array<double>")
+    monkeypatch.setattr(als, "item_factors", lambda model: items)
+    assert "Window" not in als.product_recs(None)._jdf.queryExecution().executedPlan().toString()
