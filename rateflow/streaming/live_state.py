@@ -3,7 +3,7 @@
 The newest ratings of a user are a list state of a ``transformWithState`` operator, held by
 RocksDB on the executors and saved with the stream's checkpoint: a micro-batch touches
 the lists of its users only, a restart resumes them, and a list unused for the time to
-live goes away.  Before the shuffle every Arrow batch is cut to each user's newest rows, so a
+live goes away.  Before the shuffle every few Arrow batches are cut to each user's newest rows, so a
 user with a third of a batch sends a few lists, not all ratings.
 
 ``recent_from_state`` reads the lists of a stopped or running stream by key from its
@@ -26,6 +26,7 @@ from rateflow.operators.topk import top_k_per_group
 from rateflow.schemas import RATING
 from rateflow.sources import text
 
+CUT_ROWS = 10000    # rows of a task that are cut together, at least
 STATE = "recent"
 STATE_SCHEMA = "productId int, score double, timestamp int"
 LISTS = "userId int, recents array<struct<productId:int,score:double,timestamp:int>>"
@@ -65,13 +66,25 @@ class RecentRatings(StatefulProcessor):
 
 
 def newest_of_batches(ratings: DataFrame, k: int = RECENT_RATINGS) -> DataFrame:
-    """Each Arrow batch cut to the newest ``k`` rows per user: only these can get into a list."""
+    """Every ``CUT_ROWS`` rows of a task, or a few more, cut to the newest ``k`` per user: only these can get into a list."""
     names = RATING.fieldNames()
 
+    def cut(kept):
+        rows = pd.concat(kept)
+        order = rows.sort_values(["timestamp", "productId", "score"], ascending=[False, True, False], kind="stable")
+        return order.groupby("userId", sort=False).head(k)[names]
+
     def run(batches):
+        # Other operators of a session may have set small Arrow batches.
+        kept, size = [], 0
         for rows in batches:
-            order = rows.sort_values(["timestamp", "productId", "score"], ascending=[False, True, False], kind="stable")
-            yield order.groupby("userId", sort=False).head(k)[names] if len(rows) else pd.DataFrame(columns=names)
+            kept.append(rows)
+            size += len(rows)
+            if size >= CUT_ROWS:
+                yield cut(kept)
+                kept, size = [], 0
+        if size:
+            yield cut(kept)
 
     return ratings.select(*names).mapInPandas(run, RATING)
 

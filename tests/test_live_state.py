@@ -91,3 +91,15 @@ def test_batches_are_cut_before_the_shuffle(spark):
     assert cut.count() <= 21 * 3
     assert _rows(scoring.recent_ratings(cut)) == _rows(scoring.recent_ratings(rows))
     assert ls.newest_of_batches(rows.where(F.lit(False))).collect() == []
+
+
+def test_small_arrow_batches_are_cut_together(spark):
+    rows = spark.range(4000).select(F.lit(1).alias("userId"), F.col("id").cast("int").alias("productId"), F.lit(2.0).alias("score"),
+                                    F.col("id").cast("int").alias("timestamp")).repartition(2)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "100")
+    try:
+        assert ls.newest_of_batches(rows).count() == 42
+    finally:
+        spark.conf.set(name, before)
