@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rateflow.operators import als, content, itemcf, stats
-from rateflow.operators.topk import nest
+from rateflow.operators.topk import nest, rank_within
 from rateflow.schemas import PRODUCT_RECS, RATING, SIMILARITY, USER_RECS
 from rateflow.sources import tables, text
 from rateflow.streaming.jobs import write_history, write_similarities
@@ -55,7 +55,7 @@ def factors(spark: SparkSession, base: str, k: int | None = None, **model) -> No
     stored = tables.read_table(spark, f"{base}/Similarity", SIMILARITY)
     write_similarities(stored, f"{base}/SimilarityByProduct")
     similar = stored.withColumnRenamed("sim", "score")
-    ranked = als.rank_within(similar, ["productId"], [als.rank_key("score").desc(), "simProductId"])
+    ranked = rank_within(similar, ["productId"], [als.rank_key("score").desc(), "simProductId"])
     tables.write_table(_typed(nest(ranked, "productId"), PRODUCT_RECS), f"{base}/ProductRecs")
 
 
