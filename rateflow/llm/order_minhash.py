@@ -8,10 +8,10 @@ many.  Documents that share a sketch form a bucket.  Each is compared with the
 bucket's head, the document that shares most sketches with others; a bucket whose
 other documents are of one class is then done.  What is
 left meets pair by pair: all pairs of a bucket and of different classes are compared,
-but for those that their lengths or word histograms show to be unlike, and a few pairs per
+but for those that their lengths or bags of words show to be unlike, and a few pairs per
 two classes first, as one link joins them.  So no pair with a common sketch is left out
 unless its classes are one already; a large group of copies costs a few pairs per
-member, and a passage shared by many unlike documents costs histograms only.
+member, and a passage shared by many unlike documents costs bags of words only.
 
 A pair is linked if the edit similarity of its words, 1 - distance / longer length,
 is at least 0.8, found exactly by alignment within the band that this allows.
@@ -40,7 +40,8 @@ MOST_EDITS = 5      # similarity 0.8: five times the distance is at most the lon
 NO_ID = (1 << 63) - 1
 CELLS = 1 << 15      # cells of one row of a batch of alignments
 BLOCK = 512          # members of a bucket that meet as one block
-CELLS_OF_WORDS = 128
+BAG_CELLS = 4096     # words are told apart by so many hashes, long texts' too
+FEW_CELLS = 128      # divides BAG_CELLS: a quick first look
 FIRST_PAIRS = (1, 16)    # so many candidate pairs of two classes and blocks are compared before all are
 
 _rng = np.random.default_rng(20)
@@ -92,14 +93,30 @@ def sketch(codes: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def histogram(codes: np.ndarray) -> bytes:
-    """Numbers of words by their hash, as 16-bit numbers."""
-    counts = np.bincount((codes % np.uint64(CELLS_OF_WORDS)).astype(np.int64), minlength=CELLS_OF_WORDS)
-    return np.minimum(counts, 65535).astype(np.uint16).tobytes()
+def bag(codes: np.ndarray) -> bytes:
+    """Words by their hash, as 16-bit numbers: each word's, or from BAG_CELLS words on how many have each."""
+    cells = codes % np.uint64(BAG_CELLS)
+    if len(cells) >= BAG_CELLS:
+        cells = np.minimum(np.bincount(cells.astype(np.int64), minlength=BAG_CELLS), 65535)
+    return cells.astype(np.uint16).tobytes()
+
+
+def histograms(bags: list[bytes], n: int = BAG_CELLS) -> np.ndarray:
+    """A row per bag: numbers of words by their hash modulo ``n``."""
+    out = np.zeros((len(bags), n), np.uint32)
+    for row, b in zip(out, bags):
+        cells = np.frombuffer(b, np.uint16)
+        row[:] = (cells.reshape(-1, n).sum(0, dtype=np.uint32) if len(cells) == BAG_CELLS
+                  else np.bincount(cells % n, minlength=n))
+    return out
+
+
+def _common(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.minimum(x, y).sum(1, dtype=np.int64)
 
 
 def _sketches(docs: DataFrame) -> DataFrame:
-    """(node, keys, length, histogram) of every document, in one scan."""
+    """(node, keys, length, bag) of every document, in one scan."""
     small_batches(docs.sparkSession)
 
     def run(batches):
@@ -110,11 +127,11 @@ def _sketches(docs: DataFrame) -> DataFrame:
             flat = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
             keys = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)), flat)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), keys, pa.array([len(c) for c in codes], pa.int64()), pa.array([histogram(c) for c in codes], pa.binary())],
-                names=["node", "keys", "length", "histogram"])
+                [batch.column(0), keys, pa.array([len(c) for c in codes], pa.int64()), pa.array([bag(c) for c in codes], pa.binary())],
+                names=["node", "keys", "length", "bag"])
 
     # Copies of a text are one node.
-    return docs.select("node", "text").mapInArrow(run, "node long, keys array<long>, length long, histogram binary").dropDuplicates(["node"])
+    return docs.select("node", "text").mapInArrow(run, "node long, keys array<long>, length long, bag binary").dropDuplicates(["node"])
 
 
 def _distances(pairs: list[tuple[np.ndarray, np.ndarray]], radius: list[int]) -> list[int]:
@@ -227,8 +244,17 @@ def _verified(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, alike boolean")
 
 
-def links(docs: DataFrame) -> DataFrame:
-    """(a, b): linked nodes of rows (node, id, text)."""
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (node, root) after further ``links`` (a, b): only the components that these join are gone through."""
+    ends = (links.join(roots.select(F.col("node").alias("a"), F.col("root").alias("x")), "a", "left")
+            .join(roots.select(F.col("node").alias("b"), F.col("root").alias("y")), "b", "left"))
+    more = components(ends.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")))
+    moved = roots.join(more.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
+    return written(moved.select("node", F.coalesce("to", "root").alias("root")).union(more))
+
+
+def linked_roots(docs: DataFrame) -> DataFrame:
+    """(node, root) as ``components`` has them, over all links among rows (node, id, text)."""
     sketches = written(_sketches(docs))
     first = docs.groupBy("node").agg(F.min("id").alias("id"))
     rows = sketches.select("node", F.explode(F.array_distinct("keys")).alias("key")).distinct()
@@ -241,7 +267,7 @@ def links(docs: DataFrame) -> DataFrame:
     members = written(rows.join(head, "key").where("node <> b").select("node", "key", "b"))
     pairs = members.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
     alike_1, unlike = _compare(pairs, docs, first)
-    linked, tested, roots = alike_1, alike_1.union(unlike), components(alike_1)
+    tested, roots = alike_1.union(unlike), components(alike_1)
     for most in (*FIRST_PAIRS, None):
         # A bucket of one class has nothing left to link.
         rest = written(members.select("node", "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
@@ -250,10 +276,10 @@ def links(docs: DataFrame) -> DataFrame:
         again = written(_open_pairs(written(rest.join(open_keys, "key")), sketches, most).join(tested, ["a", "b"], "left_anti"))
         if not again.isEmpty():
             alike, unlike = _compare(again, docs, first)
-            linked, tested = linked.union(alike), tested.union(alike).union(unlike)
-            if most is not None:
-                roots = components(linked)
-    return linked
+            tested = tested.union(alike).union(unlike)
+            if not alike.isEmpty():
+                roots = _merged(roots, alike)
+    return roots
 
 
 def _first_of(x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
@@ -266,35 +292,39 @@ def _first_of(x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
     return np.sort(order[rank < most])
 
 
+def _may_be_alike(common: np.ndarray, longer: np.ndarray) -> np.ndarray:
+    """Whether as many words in common may do, by the longer length; words of very long texts are not counted in full."""
+    return (longer - common <= longer // MOST_EDITS) | (longer > 65535)
+
+
 def _open_pairs(rows: DataFrame, sketches: DataFrame, most: int | None) -> DataFrame:
     """Pairs of one bucket and different classes that may be alike, for rows (node, key, root, n).
 
     Buckets are cut into blocks that meet each other; two documents of very different
-    length, or with too few words in common by their histograms, are surely unlike.
+    length, or with too few words in common by their bags, are surely unlike.
     Of two classes, ``most`` pairs per two blocks come at most, or all without it: one link
     joins two classes, however many candidates lie between them.
     """
     dealt = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn(
         "block", bucket_of(F.col("blocks"), F.lit(3), "node").cast("int"))
-    member = F.struct("node", "root", "length", "histogram")
-    blocks = written(dealt.join(sketches.select("node", "length", "histogram"), "node")
+    member = F.struct("node", "root", "length", "bag")
+    blocks = written(dealt.join(sketches.select("node", "length", "bag"), "node")
                      .groupBy("key", "blocks", "block").agg(F.collect_list(member).alias("m")))
     left = blocks.select("key", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), F.col("m").alias("x"))
     right = blocks.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"), F.col("m").alias("y"))
     cells = left.join(right, ["key", "i", "j"]).select(
-        (F.col("i") == F.col("j")).alias("same"), *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("node", "root", "length", "histogram")])
+        (F.col("i") == F.col("j")).alias("same"), *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("node", "root", "length", "bag")])
 
     def run(batches):
         import pyarrow as pa
         for batch in batches:
             found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for r in batch.to_pylist():
-                cell: list[list[np.ndarray]] = [[], [], [], []]
+            for r in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):  # a row is two blocks
                 sides = []
                 for s in "xy":
-                    sides.append([np.array(r[f"{s}_{c}"], np.int64) for c in ("node", "root", "length")]
-                                 + [np.frombuffer(b"".join(r[f"{s}_histogram"]), np.uint16).reshape(-1, CELLS_OF_WORDS)])
-                (node, root, length, words), (nodes, roots, lengths, others) = sides
+                    sides.append([np.array(r[f"{s}_{c}"], np.int64) for c in ("node", "root", "length")] + [histograms(r[f"{s}_bag"], FEW_CELLS)])
+                (node, root, length, few), (nodes, roots, lengths, other_few) = sides
+                x, y = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
                 for k in range(len(node)):
                     may = roots != root[k]
                     if r["same"]:
@@ -302,12 +332,22 @@ def _open_pairs(rows: DataFrame, sketches: DataFrame, most: int | None) -> DataF
                     longer = np.maximum(lengths, length[k])
                     may &= MOST_EDITS * np.abs(lengths - length[k]) <= longer
                     at = np.flatnonzero(may)
-                    common = np.minimum(others[at], words[k]).sum(1, dtype=np.int64)
-                    longer = longer[at]
-                    at = at[(longer - common <= longer // MOST_EDITS) | (longer > 65535)]
-                    for part, values in zip(cell, (np.full(len(at), node[k]), nodes[at], np.full(len(at), root[k]), roots[at])):
-                        part.append(values)
-                x, y, of_x, of_y = (np.concatenate(part) for part in cell)
+                    at = at[_may_be_alike(_common(other_few[at], few[k]), longer[at])]
+                    x.append(np.full(len(at), k))
+                    y.append(at)
+                x, y = np.concatenate(x), np.concatenate(y)
+                # All hashes of what is left, a left document at a time.
+                starts = np.flatnonzero(np.concatenate((x[:1] >= 0, x[1:] != x[:-1])))
+                used = np.unique(y)
+                words = histograms([r["y_bag"][j] for j in used])
+                may = [np.zeros(0, bool)]
+                for start, end in zip(starts, [*starts[1:], len(x)]):
+                    k, at = x[start], y[start:end]
+                    common = _common(words[np.searchsorted(used, at)], histograms([r["x_bag"][k]]))
+                    may.append(_may_be_alike(common, np.maximum(lengths[at], length[k])))
+                may = np.concatenate(may)
+                x, y = x[may], y[may]
+                of_x, of_y, x, y = root[x], roots[y], node[x], nodes[y]
                 if most is not None and len(x):
                     kept = _first_of(of_x, of_y, most)
                     x, y = x[kept], y[kept]
@@ -340,7 +380,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """Per row: doc_id, its text's ``node``, the class's ``root`` node, id and size, and
     whether the row has that id."""
     rows = _nodes(docs, doc_id, text)
-    roots = components(links(rows))
+    roots = linked_roots(rows)
     # A hot class must not be one task's rows: what is joined to each row is settled
     # first, and Spark splits the large partitions of such a join.
     known = rows.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

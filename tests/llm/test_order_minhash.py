@@ -63,6 +63,35 @@ def test_equal_words_give_equal_sketches_whatever_repeats():
     assert (o.sketch(plain) == o.sketch(twice)).mean() > 0.5
 
 
+def test_bags_bound_the_distance_and_tell_long_texts_apart(spark):
+    rng = random.Random(21)
+    text = lambda n, of: " ".join(f"w{rng.randrange(of)}" for _ in range(n))
+    texts = [text(n, of) for n in (0, 3, 150, 800, 5000, 70_000) for of in (9, 4000)]
+    codes = [o.word_codes(o.code_points(t)) for t in texts]
+    assert all(len(o.bag(c)) <= 2 * o.BAG_CELLS for c in codes)
+    for n in (o.FEW_CELLS, o.BAG_CELLS):
+        for c, h in zip(codes, o.histograms([o.bag(c) for c in codes], n)):
+            if len(c) <= 65535:  # numbers beyond are cut, and such texts always compared
+                assert (h == np.bincount((c % np.uint64(n)).astype(int), minlength=n)).all()
+    # A passage that is 70 % of texts whose other words differ: one bucket, no pair to align.
+    passage = text(600, 10**6)
+    rows = [(k, 600 + 260, passage + " " + text(260, 10**6)) for k in range(40)]
+    rows += [(100 + k, 600, edited(rng, passage, 20)) for k in range(3)]
+    nodes = spark.createDataFrame([(k, 1, k, len(rows)) for k, _, _ in rows], "node long, key long, root long, n long")
+    sketches = o.written(o._sketches(spark.createDataFrame([(k, t) for k, _, t in rows], "node long, text string")))
+    got = {(r.a, r.b) for r in o._open_pairs(nodes, sketches, None).collect()}
+    assert got == {(101, 100), (102, 100), (102, 101)}
+
+
+def test_later_links_join_roots(spark):
+    first = [(5, 2), (9, 2), (8, 7), (20, 11)]
+    later = [(9, 8), (30, 20), (41, 40), (11, 20)]
+    edges = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    got = o._merged(components(edges(first)), edges(later)).collect()
+    want = components(edges(first + later)).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 7
+
+
 def planted(rng):
     rows, group, nr = [], {}, 0
     passage = " ".join(f"common{k}" for k in range(60))
