@@ -42,7 +42,7 @@ CELLS = 1 << 15      # cells of one row of a batch of alignments
 BLOCK = 512          # members of a bucket that meet as one block
 BAG_CELLS = 4096     # words are told apart by so many hashes, long texts' too
 FEW_CELLS = 128      # divides BAG_CELLS: a quick first look
-FIRST_PAIRS = (1, 16)    # so many candidate pairs of two classes and blocks are compared before all are
+FIRST_PAIRS = 4      # so many candidate pairs of two classes and blocks are compared before all are
 
 _rng = np.random.default_rng(20)
 _XOR = _rng.integers(0, 1 << 63, SKETCHES, dtype=np.uint64)[:, None]
@@ -268,7 +268,7 @@ def linked_roots(docs: DataFrame) -> DataFrame:
     pairs = members.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
     alike_1, unlike = _compare(pairs, docs, first)
     tested, roots = alike_1.union(unlike), components(alike_1)
-    for most in (*FIRST_PAIRS, None):
+    for most in (FIRST_PAIRS, None):
         # A bucket of one class has nothing left to link.
         rest = written(members.select("node", "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
         open_keys = written(rest.groupBy("key").agg(F.min("root").alias("y"), F.max("root").alias("z"), F.count(F.lit(1)).alias("n"))
@@ -310,24 +310,27 @@ def _open_pairs(rows: DataFrame, sketches: DataFrame, most: int | None) -> DataF
     member = F.struct("node", "root", "length", "bag")
     blocks = written(dealt.join(sketches.select("node", "length", "bag"), "node")
                      .groupBy("key", "blocks", "block").agg(F.collect_list(member).alias("m")))
-    left = blocks.select("key", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j"), F.col("m").alias("x"))
-    right = blocks.select("key", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"), F.col("m").alias("y"))
-    cells = left.join(right, ["key", "i", "j"]).select(
-        (F.col("i") == F.col("j")).alias("same"), *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("node", "root", "length", "bag")])
+    # A block meets itself where it lies; only two blocks of one bucket are sent to each other.
+    others = blocks.where("blocks > 1")
+    left = others.where("block < blocks - 1").select("key", F.col("block").alias("i"), F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)).alias("j"), F.col("m").alias("x"))
+    right = others.where("block > 0").select("key", F.explode(F.sequence(F.lit(0), F.col("block") - 1)).alias("i"), F.col("block").alias("j"), F.col("m").alias("y"))
+    fields = ("node", "root", "length", "bag")
+    cells = left.join(right, ["key", "i", "j"]).select(*[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in fields])
+    itself = blocks.select(*[F.col(f"m.{c}").alias(f"x_{c}") for c in fields], *[F.lit(None).cast(cells.schema[f"y_{c}"].dataType).alias(f"y_{c}") for c in fields])
 
     def run(batches):
         import pyarrow as pa
         for batch in batches:
             found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for r in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):  # a row is two blocks
-                sides = []
-                for s in "xy":
+                sides, same = [], r["y_node"] is None
+                for s in "xx" if same else "xy":
                     sides.append([np.array(r[f"{s}_{c}"], np.int64) for c in ("node", "root", "length")] + [histograms(r[f"{s}_bag"], FEW_CELLS)])
                 (node, root, length, few), (nodes, roots, lengths, other_few) = sides
                 x, y = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
                 for k in range(len(node)):
                     may = roots != root[k]
-                    if r["same"]:
+                    if same:
                         may &= nodes > node[k]
                     longer = np.maximum(lengths, length[k])
                     may &= MOST_EDITS * np.abs(lengths - length[k]) <= longer
@@ -339,7 +342,7 @@ def _open_pairs(rows: DataFrame, sketches: DataFrame, most: int | None) -> DataF
                 # All hashes of what is left, a left document at a time.
                 starts = np.flatnonzero(np.concatenate((x[:1] >= 0, x[1:] != x[:-1])))
                 used = np.unique(y)
-                words = histograms([r["y_bag"][j] for j in used])
+                words = histograms([r["x_bag" if same else "y_bag"][j] for j in used])
                 may = [np.zeros(0, bool)]
                 for start, end in zip(starts, [*starts[1:], len(x)]):
                     k, at = x[start], y[start:end]
@@ -355,7 +358,7 @@ def _open_pairs(rows: DataFrame, sketches: DataFrame, most: int | None) -> DataF
                 found_b.append(np.minimum(x, y))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], names=["a", "b"])
 
-    return cells.mapInArrow(run, "a long, b long").distinct()
+    return itself.union(cells).mapInArrow(run, "a long, b long").distinct()
 
 
 def _compare(pairs: DataFrame, docs: DataFrame, first: DataFrame) -> tuple[DataFrame, DataFrame]:
