@@ -302,21 +302,23 @@ def _open_pairs(rows: DataFrame, sketches: DataFrame, most: int | None) -> DataF
 
     Buckets are cut into blocks that meet each other; two documents of very different
     length, or with too few words in common by their bags, are surely unlike.
+    A pair comes from the least of the buckets that it shares: there it meets, or one of
+    the two is the head, to which the other was compared.
     Of two classes, ``most`` pairs per two blocks come at most, or all without it: one link
     joins two classes, however many candidates lie between them.
     """
     dealt = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn(
         "block", bucket_of(F.col("blocks"), F.lit(3), "node").cast("int"))
-    member = F.struct("node", "root", "length", "bag")
-    blocks = written(dealt.join(sketches.select("node", "length", "bag"), "node")
+    member = F.struct("node", "root", "length", "keys", "bag")
+    blocks = written(dealt.join(sketches.select("node", "length", "keys", "bag"), "node")
                      .groupBy("key", "blocks", "block").agg(F.collect_list(member).alias("m")))
     # A block meets itself where it lies; only two blocks of one bucket are sent to each other.
     others = blocks.where("blocks > 1")
     left = others.where("block < blocks - 1").select("key", F.col("block").alias("i"), F.explode(F.sequence(F.col("block") + 1, F.col("blocks") - 1)).alias("j"), F.col("m").alias("x"))
     right = others.where("block > 0").select("key", F.explode(F.sequence(F.lit(0), F.col("block") - 1)).alias("i"), F.col("block").alias("j"), F.col("m").alias("y"))
-    fields = ("node", "root", "length", "bag")
-    cells = left.join(right, ["key", "i", "j"]).select(*[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in fields])
-    itself = blocks.select(*[F.col(f"m.{c}").alias(f"x_{c}") for c in fields], *[F.lit(None).cast(cells.schema[f"y_{c}"].dataType).alias(f"y_{c}") for c in fields])
+    fields = ("node", "root", "length", "keys", "bag")
+    cells = left.join(right, ["key", "i", "j"]).select("key", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in fields])
+    itself = blocks.select("key", *[F.col(f"m.{c}").alias(f"x_{c}") for c in fields], *[F.lit(None).cast(cells.schema[f"y_{c}"].dataType).alias(f"y_{c}") for c in fields])
 
     def run(batches):
         import pyarrow as pa
@@ -350,6 +352,9 @@ def _open_pairs(rows: DataFrame, sketches: DataFrame, most: int | None) -> DataF
                     may.append(_may_be_alike(common, np.maximum(lengths[at], length[k])))
                 may = np.concatenate(may)
                 x, y = x[may], y[may]
+                key_sets, other_sets = [[set(r[f"{s}_keys"][k]) for k in at.tolist()] for s, at in (("x", x), ("x" if same else "y", y))]
+                may = np.array([min(p & q) == r["key"] for p, q in zip(key_sets, other_sets)], bool)
+                x, y = x[may], y[may]
                 of_x, of_y, x, y = root[x], roots[y], node[x], nodes[y]
                 if most is not None and len(x):
                     kept = _first_of(of_x, of_y, most)

@@ -6,6 +6,7 @@ from collections import defaultdict
 import numpy as np
 from hypothesis import given, settings, strategies as st
 from llm.helpers import AWKWARD, docs
+from pyspark.sql import functions as F
 from rateflow.llm import order_minhash as o
 from rateflow.llm.components import components
 
@@ -75,11 +76,12 @@ def test_bags_bound_the_distance_and_tell_long_texts_apart(spark):
                 assert (h == np.bincount((c % np.uint64(n)).astype(int), minlength=n)).all()
     # A passage that is 70 % of texts whose other words differ: one bucket, no pair to align.
     passage = text(600, 10**6)
-    rows = [(k, 600 + 260, passage + " " + text(260, 10**6)) for k in range(40)]
-    rows += [(100 + k, 600, edited(rng, passage, 20)) for k in range(3)]
-    nodes = spark.createDataFrame([(k, 1, k, len(rows)) for k, _, _ in rows], "node long, key long, root long, n long")
-    sketches = o.written(o._sketches(spark.createDataFrame([(k, t) for k, _, t in rows], "node long, text string")))
-    got = {(r.a, r.b) for r in o._open_pairs(nodes, sketches, None).collect()}
+    rows = [(k, passage + " " + text(260, 10**6)) for k in range(40)]
+    rows += [(100 + k, edited(rng, passage, 20)) for k in range(3)]
+    sketches = o.written(o._sketches(spark.createDataFrame(rows, "node long, text string")))
+    nodes = sketches.select("node", F.explode("keys").alias("key"), F.col("node").alias("root"), F.lit(len(rows)).alias("n"))
+    made = o._open_pairs(nodes, sketches, None)
+    got = {(r.a, r.b) for r in made.collect()}
     assert got == {(101, 100), (102, 100), (102, 101)}
 
 
