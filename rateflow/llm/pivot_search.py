@@ -7,8 +7,9 @@ pivot p; the largest over many pivots gives an upper bound of the inner product,
 bound and stops as soon as the next bound is below its k-th best score: exact.
 
 Candidates lie in blocks of bounded size and queries (a stated set) in smaller
-blocks.  The query blocks are copied to the candidate blocks, each pair is one row of
-a join, and only the k best per query and block leave a task.  Each query first
+blocks.  A task holds a group of query blocks, as many as a stated number of bytes allows,
+while a share of the candidate blocks passes by, so candidates are shuffled once per group
+and not once per query block; only the k best per query leave a task.  Each query first
 passes through one block alone, whose k-th score is where it starts in all others.
 
 Edge cases: vectors that are null, empty, or hold null or non-finite components take
@@ -34,6 +35,8 @@ PIVOTS = 24
 PIVOT_SAMPLE = 2000     # vectors that pivots are chosen from; only bounds depend on them
 CANDIDATE_BLOCK = 4096
 QUERY_BLOCK = 256
+HELD_BYTES = 64 << 20       # queries that a task holds, about
+PASSED_BYTES = 128 << 20    # candidates that pass by in one task, about
 _FOUND = "query_id long, vec_id long, score long"
 _BLOCK = "block long, ids array<long>, dim int, flat binary, table binary"
 
@@ -69,9 +72,10 @@ def _packed(rows: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
         dim = int(block["dim"].iloc[0])
         block = block.sort_values("vec_id", kind="stable")
         v = np.array(block["v"].tolist(), np.int64).reshape(len(block), dim)
-        short = v.astype(np.int32) if np.abs(v).max() < 1 << 31 else v
+        largest = np.abs(v).max()
+        short = v.astype(np.int16 if largest < 1 << 15 else np.int32 if largest < 1 << 31 else np.int64)
         p = pivots[dim]
-        distances = np.sqrt(np.stack([((v - q) ** 2).sum(1) for q in p], axis=1)).astype(np.float64)
+        distances = np.sqrt(np.stack([((v - q) ** 2).sum(1) for q in p], axis=1)).astype(np.float32)
         return pd.DataFrame([{"block": int(block["block"].iloc[0]), "ids": block["vec_id"].tolist(), "dim": dim,
                               "flat": short.tobytes(), "table": distances.tobytes()}])
 
@@ -132,27 +136,78 @@ def eliminate(queries, candidates, k: int, start: list[int | None]) -> list[list
 
 def _unpack(ids, dim, flat, table):
     n = len(ids)
-    kind = np.int64 if len(flat) == 8 * n * dim else np.int32
-    return (np.array(ids, np.int64), np.frombuffer(flat, kind).reshape(n, dim).astype(np.int64),
-            np.frombuffer(table, np.float64).reshape(n, -1))
+    return (np.array(ids, np.int64), np.frombuffer(flat, f"i{len(flat) // (n * dim)}").reshape(n, dim),
+            np.frombuffer(table, np.float32).reshape(n, -1))
 
 
-def _search(pairs: DataFrame, k: int) -> DataFrame:
-    """Best candidates per row of (queries, their starting scores, candidates)."""
+class _Held:
+    """A block of queries and the k best of each among the candidates that passed by."""
+
+    def __init__(self, r, k: int):
+        self.number, self.k = r.block, k
+        self.queries = _unpack(r.ids, r.dim, r.flat, r.table)
+        known = dict(zip(r.start_ids, r.start_scores)) if r.start_ids is not None else {}
+        n = len(r.ids)
+        self.start = [known.get(x) for x in self.queries[0].tolist()]
+        self.ids, self.scores, self.count = np.zeros((n, k), np.int64), np.zeros((n, k), np.int64), np.zeros(n, np.int64)
+
+    def meet(self, candidates) -> None:
+        for i, new in enumerate(eliminate(self.queries, candidates, self.k, self.start)):
+            if new:
+                old = zip(self.ids[i, :self.count[i]].tolist(), self.scores[i, :self.count[i]].tolist())
+                best = sorted([*old, *new], key=lambda x: (-x[1], x[0]))[:self.k]
+                self.count[i] = len(best)
+                self.ids[i, :len(best)], self.scores[i, :len(best)] = zip(*best)
+                if len(best) == self.k:
+                    self.start[i] = best[-1][1] if self.start[i] is None else max(self.start[i], best[-1][1])
+
+    def found(self):
+        i, j = np.nonzero(np.arange(self.k) < self.count[:, None])
+        return self.queries[0][i], self.ids[i, j], self.scores[i, j]
+
+
+def _search(queries: DataFrame, candidates: DataFrame, k: int, cells: int, round_of: int = 0) -> DataFrame:
+    """The k best per query within each cell (g, c) of queries and candidates of one length.
+
+    With ``round_of`` blocks that a first pass went round, a query leaves out the one that it met there.
+    """
     def run(batches):
         import pandas as pd
+
+        def told(held):
+            return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*[q.found() for q in held])))))
+
+        held, cell = [], None
         for frame in batches:
-            out = []
             for r in frame.itertuples(index=False):
-                q = _unpack(r.q_ids, r.dim, r.q_flat, r.q_table)
-                c = _unpack(r.ids, r.dim, r.flat, r.table)
-                known = dict(zip(r.start_ids, r.start_scores)) if r.start_ids is not None else {}
-                found = eliminate(q, c, k, [known.get(x) for x in q[0].tolist()])
-                out += [(x, v, s) for x, best in zip(q[0].tolist(), found) for v, s in best]
-            yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+                if (r.g, r.c, r.dim) != cell:
+                    if held:
+                        yield told(held)
+                    held, cell = [], (r.g, r.c, r.dim)
+                if r.side == 0:
+                    held.append(_Held(r, k))
+                elif held:
+                    block = _unpack(r.ids, r.dim, r.flat, r.table)
+                    for q in held:
+                        if not round_of or r.block != q.number % round_of:
+                            q.meet(block)
+        if held:
+            yield told(held)
+
+    no_ids = F.lit(None).cast("array<long>")
+    both = queries.withColumn("side", F.lit(0)).unionByName(
+        candidates.withColumns({"side": F.lit(1), "start_ids": no_ids, "start_scores": no_ids}))
+    # Few rows but much work: more partitions than cells, so that few cells share one.
+    n = 4 * max(cells, queries.sparkSession.sparkContext.defaultParallelism)
+    return both.repartition(n, "g", "c", "dim").sortWithinPartitions("g", "c", "dim", "side").mapInPandas(run, _FOUND)
+
 
-    # A row holds two blocks, so a batch has few of them.
-    return pairs.repartition(max(1, pairs.sparkSession.sparkContext.defaultParallelism * 4), "q_block", "block").mapInPandas(run, _FOUND)
+def _sample(rows: DataFrame, n: int) -> list[list[int]]:
+    """PIVOT_SAMPLE of n vectors, or a few less, by a hash: each task tells the driver its share of them only."""
+    parts = 1 << 40
+    hashed = rows.select("v", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(parts)).alias("hash"))
+    few = hashed.where(F.col("hash") < min(parts, max(1, parts * 2 * PIVOT_SAMPLE // max(n, 1)))).orderBy("hash").limit(PIVOT_SAMPLE)
+    return [r["v"] for r in few.select("v").collect()]
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -164,32 +219,32 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id", vect
     small_batches(spark)
     rows = scaled(vectors, vec_id, vector).withColumn("dim", F.size("v"))
     per_dim = {r["dim"]: r["n"] for r in rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
-    pivots = {}
-    for dim in per_dim:
-        sample = rows.where(F.col("dim") == dim).orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(PIVOT_SAMPLE).select("v").collect()
-        pivots[dim] = choose_pivots([r["v"] for r in sample])
+    pivots = {dim: choose_pivots(_sample(rows.where(F.col("dim") == dim), n)) for dim, n in per_dim.items()}
     queries = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
     n_blocks = max(1, -(-sum(per_dim.values()) // CANDIDATE_BLOCK))
     n_query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     row_nr = F.monotonically_increasing_id()
     candidates = settled(_packed(rows.withColumn("block", bucket_of(n_blocks, F.lit(1), "vec_id", row_nr)), pivots))
-    asked = settled(_packed(queries.withColumn("block", bucket_of(n_query_blocks, F.lit(2), "vec_id")), pivots).select(
-        F.col("block").alias("q_block"), "dim", F.col("ids").alias("q_ids"), F.col("flat").alias("q_flat"),
-        F.col("table").alias("q_table")))
-    no_ids = F.lit(None).cast("array<long>")
+    asked = settled(_packed(queries.withColumn("block", bucket_of(n_query_blocks, F.lit(2), "vec_id")), pivots))
+    no_ids, zero = F.lit(None).cast("array<long>"), F.lit(0).cast("long")
     # A first pass over one block each, dealt round the blocks, finds starting scores.
-    first = (asked.withColumn("block", F.pmod("q_block", F.lit(n_blocks)))
-             .join(candidates, ["block", "dim"]).withColumn("start_ids", no_ids).withColumn("start_scores", no_ids))
-    started = settled(_search(first, k))
+    met = min(n_blocks, n_query_blocks)
+    first = asked.withColumns({"g": F.pmod("block", F.lit(n_blocks)), "c": zero, "start_ids": no_ids, "start_scores": no_ids})
+    started = settled(_search(first, candidates.where(F.col("block") < met).withColumns({"g": F.col("block"), "c": zero}), k, met))
     starts = (started.groupBy("query_id").agg(F.min("score").alias("score"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k)
-              .withColumn("q_block", bucket_of(n_query_blocks, F.lit(2), "query_id")).groupBy("q_block")
+              .withColumn("block", bucket_of(n_query_blocks, F.lit(2), "query_id")).groupBy("block")
               .agg(F.collect_list(F.struct("query_id", "score")).alias("s"))
-              .select("q_block", F.col("s.query_id").alias("start_ids"), F.col("s.score").alias("start_scores")))
-    others = F.filter(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")),
-                      lambda b: b != F.pmod("q_block", F.lit(n_blocks)))
-    rest = (asked.join(starts, "q_block", "left").withColumn("block", F.explode(others))
-            .join(candidates, ["block", "dim"]))
-    found = started.union(_search(rest, k))
+              .select("block", F.col("s.query_id").alias("start_ids"), F.col("s.score").alias("start_scores")))
+    longest = max(per_dim, default=0)
+    group = max(1, HELD_BYTES // (QUERY_BLOCK * (8 * longest + 4 * PIVOTS + 32 * k)))     # query blocks of a group
+    groups = -(-n_query_blocks // group)
+    chunks = min(n_blocks, max(-(-4 * spark.sparkContext.defaultParallelism // groups),
+                               -(-n_blocks * CANDIDATE_BLOCK * 4 * (longest + PIVOTS) // PASSED_BYTES)))
+    each = F.explode(F.sequence(zero, F.lit(chunks - 1).cast("long")))
+    rest = asked.join(starts, "block", "left").withColumns({"g": F.floor(F.col("block") / group), "c": each})
+    every = F.explode(F.sequence(zero, F.lit(groups - 1).cast("long")))
+    others = candidates.withColumns({"g": every, "c": F.pmod("block", F.lit(chunks))})
+    found = started.union(_search(rest, others, k, groups * chunks, round_of=n_blocks))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

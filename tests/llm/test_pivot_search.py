@@ -75,3 +75,36 @@ def test_bounds_stop_early():
     scores[5] = -10**9
     want = sorted((-int(x), j) for j, x in enumerate(scores))[:5]
     assert got == [(j, -x) for x, j in want]
+
+
+def test_driver_sees_a_share_of_the_pivot_sample_per_task(spark, monkeypatch):
+    monkeypatch.setattr(s, "PIVOT_SAMPLE", 50)
+    rows = spark.range(0, 8000, 1, 40).select(F.col("id").alias("vec_id"), F.array("id", F.lit(1)).alias("v"))
+    sc = spark.sparkContext
+    read = sc.accumulator(0)
+    monkeypatch.setattr(type(rows), "limit", lambda self, n, f=type(rows).limit: f(self.where(told("v")), n))
+
+    def count(v):
+        read.add(1)
+        return True
+
+    told = F.udf(count, "boolean")
+    assert 40 <= len(s._sample(rows, 8000)) <= 50
+    assert read.value <= 200      # 40 tasks; 50 each would be 2,000
+
+
+def test_candidates_are_shuffled_once_per_group_of_queries(spark, monkeypatch):
+    monkeypatch.setattr(s, "CANDIDATE_BLOCK", 64)
+    monkeypatch.setattr(s, "QUERY_BLOCK", 2)
+    rng = random.Random(5)
+    rows = [(i, [half(rng.gauss(0, 0.3)) for _ in range(8)]) for i in range(1000)]
+    sent = []
+    search = s._search
+    monkeypatch.setattr(s, "_search", lambda q, c, *a, **b: (sent.append((q.count(), c.count())), search(q, c, *a, **b))[1])
+    assert found(spark, rows) == brute(rows)
+    # 20 queries in about 10 blocks, 16 blocks of candidates, one group: none is copied for each query block.
+    assert sent[1][1] == 16
+    sent.clear()
+    monkeypatch.setattr(s, "HELD_BYTES", 3 * 2 * (8 * 8 + 4 * s.PIVOTS + 32 * 5))
+    assert found(spark, rows) == brute(rows)
+    assert sent[1][1] == 16 * 4
