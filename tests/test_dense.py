@@ -113,3 +113,16 @@ def test_whole_product_lists_have_no_window(spark, monkeypatch):
     items = spark.createDataFrame([(i, rng.normal(size=3).tolist()) for i in range(20)], "productId int, features array<double>")
     monkeypatch.setattr(als, "item_factors", lambda model: items)
     assert "Window" not in als.product_recs(None)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_whole_lists_ship_vectors_a_few_times_per_core(spark, monkeypatch):
+    from rateflow.operators import dense
+    shipped = []
+    cells = dense._cells
+    monkeypatch.setattr(dense, "_cells", lambda left, right, *a: (shipped.append((left.count(), right.count())), cells(left, right, *a))[1])
+    rng = np.random.default_rng(23)
+    df = _frame(spark, rng.normal(size=(300, 3)), "productId")
+    whole = [sorted(map(tuple, ranked_above(df, 0.5, "productId", "other", held=held).collect())) for held in (1, 1 << 20)]
+    assert [[x[:2] + x[3:] for x in w] for w in whole[1:]] == [[x[:2] + x[3:] for x in whole[0]]]
+    # Copies of the one right block: four per core however few scores a task holds, not one per vector.
+    assert shipped[0] == shipped[1] and shipped[0][1] <= 4 * spark.sparkContext.defaultParallelism
