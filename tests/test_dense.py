@@ -126,3 +126,29 @@ def test_whole_lists_ship_vectors_a_few_times_per_core(spark, monkeypatch):
     assert [[x[:2] + x[3:] for x in w] for w in whole[1:]] == [[x[:2] + x[3:] for x in whole[0]]]
     # Copies of the one right block: four per core however few scores a task holds, not one per vector.
     assert shipped[0] == shipped[1] and shipped[0][1] <= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_few_bytes_of_right_blocks_reach_a_task_at_once(spark, monkeypatch):
+    from rateflow.operators import dense
+    monkeypatch.setattr(dense, "RIGHT_BYTES", 20 * 3 * 8)
+    monkeypatch.setattr(dense, "ARROW_BYTES", 1000)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+    rows = []
+    cells = dense._cells
+    monkeypatch.setattr(dense, "_cells", lambda left, right, *a: (rows.append(right.agg(F.max(F.length("flat")), F.count("bj")).first()),
+                                                                  cells(left, right, *a))[1])
+    rng = np.random.default_rng(24)
+    x = rng.normal(size=(300, 3))
+    df = _frame(spark, x, "productId")
+    met = best_per_block(df, df.withColumnRenamed("productId", "other"), 4, "productId", "other", unit=True)
+    # At most 20 vectors a block, unless the hash deals a few more.
+    assert rows[0][0] <= 35 * 3 * 8 and rows[0][1] == 15
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "1000b"
+    got = {}
+    for r in met.collect():
+        got.setdefault(r.productId, []).append((-round(r.score, 9), r.other))
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    near = np.round(unit @ unit.T, 9)
+    for i in range(300):
+        want = [int(j) for j in np.lexsort((np.arange(300), -near[i])) if j != i and near[i, j] > 0][:4]
+        assert [j for _, j in sorted(got[i])[:4]] == want
