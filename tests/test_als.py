@@ -93,3 +93,28 @@ def test_random_split_is_a_partition(spark):
     key = lambda d: {(r.userId, r.productId) for r in d.collect()}
     assert not key(train) & key(test) and len(key(train) | key(test)) == rows.count()
     assert 0.7 < train.count() / rows.count() < 0.9
+
+
+def test_grid_holds_one_fit_at_a_time(spark, monkeypatch):
+    import threading
+    rows = _planted(spark)
+    now, most, left, lock = [0], [0], [], threading.Lock()
+    fit, told = als.fit, als.rmse
+
+    def counted(*a):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        return fit(*a)
+
+    def done(predicted):
+        with lock:
+            now[0] -= 1
+        return told(predicted)
+
+    monkeypatch.setattr(als, "fit", counted)
+    monkeypatch.setattr(als, "rmse", done)
+    monkeypatch.setattr(als, "_let_go", lambda s, f=als._let_go: (left.append(1), f(s)))
+    assert als.grid(spark, rows, rows, (1, 2), (1.0, 0.1), max_iter=2).count() == 4
+    assert most[0] == 1 and len(left) == 4
+    assert als.als().getCheckpointInterval() == 1
