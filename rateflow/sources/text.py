@@ -9,6 +9,8 @@ quarantine frame with a reason.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,6 +119,8 @@ def parse_ratings_csv(spark: SparkSession, path: str, delimiter: str = ",", mult
     u, p, t = (F.col(c).try_cast("int") for c in ("f0", "f1", "f3"))
     s = F.col("f2").try_cast("double")
     written = F.coalesce("raw", F.concat_ws(delimiter, *[F.coalesce(c, F.lit("")) for c in (*fields, "more")]))
-    short = F.col("f3").isNull() & F.col("more").isNull()
+    # Of a longer record fields beyond the schema are seen in ``raw`` only, where quoted ones may hold delimiters.
+    as_written = F.size(split_fields(F.regexp_replace("raw", '"[^"]*"', "q"), re.escape(delimiter)))
+    short = F.col("f3").isNull() & F.col("more").isNull() & (F.col("raw").isNull() | (as_written < 4))
     return rows.select(written.alias("value"), u.alias("userId"), p.alias("productId"), s.alias("score"), t.alias("timestamp"),
                        _reason(F.when(short, F.lit(3)).otherwise(F.lit(4)), 4, [u, p, s, t]).alias(REASON))

@@ -31,6 +31,12 @@ def test_plain_rows_as_by_splitting(spark):
     assert plain[0] == quoted[0] and plain[1] == quoted[1] and len(plain[0]) == 4
 
 
+def test_a_field_far_behind_empty_ones(spark):
+    path = _file(["1,1,1,,,1", "1,2,,,,", '"a,,,b",2', "1,2,3.0,,,,x"])
+    reasons = {v: r for v, r in _both(text.read_ratings_text(spark, path, quoted=True))[1]}
+    assert reasons == {"1,1,1,,,1": "bad_value", "1,2,,,,": "short_row", '"a,,,b",2': "short_row", "1,2,3.0,,,,x": "bad_value"}
+
+
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.lists(st.sampled_from(["1", "22", "3.5", "x", "-4", ""]), min_size=1, max_size=6).map(",".join).filter(bool), min_size=1, max_size=20))
 def test_any_plain_rows_as_by_splitting(spark, lines):
